@@ -67,28 +67,26 @@ def union_distinct(first: DataFrame, second: DataFrame, col: str) -> DataFrame:
     return first.select(col).unionByName(second.select(col)).distinct().orderBy(col)
 
 
-def histogram(df: DataFrame, value: str, bins: int = 20, weight: str | None = None) -> DataFrame:
+def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram: (bin, bin_low, bin_high, events) of the occupied bins.
 
-    The bounds are a scalar subquery, so no row is joined to them. The top edge
-    falls into the last bin and equal bounds give a single bin. ``weight`` is a
-    column of row counts when the input is already counted per value.
+    The bounds are one scalar subquery, so no row is joined to them; the second pass
+    over the values reuses the shuffles of the first. The top edge falls into the last
+    bin and equal bounds give a single bin.
     """
-    values = known(df, value).withColumn(value, F.col(value).cast("double"))
-    bounds = values.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low = bounds.select("low").scalar()
-    high = bounds.select("high").scalar()
-    raw_bin = F.coalesce(F.width_bucket(F.col(value), low, high, F.lit(bins)), F.lit(1))
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = (
-        values.select(F.least(raw_bin, F.lit(bins)).cast("int").alias("bin"), *([weight] if weight else []))
-        .groupBy("bin")
-        .agg(n.alias("events"))
-    )
-    width = (high - low) / bins
-    return counted.select(
-        "bin",
-        (low + (F.col("bin") - 1) * width).alias("bin_low"),
-        (low + F.col("bin") * width).alias("bin_high"),
-        "events",
+    values = known(df, value).select(F.col(value).cast("double").alias("__v"))
+    bounds = values.agg(F.struct(F.min("__v").alias("low"), F.max("__v").alias("high")).alias("b")).scalar()
+    bounded = values.select("__v", bounds.alias("__b")).select("__v", "__b.low", "__b.high")
+    raw_bin = F.coalesce(F.width_bucket("__v", "low", "high", F.lit(bins)), F.lit(1))
+    width = (F.col("high") - F.col("low")) / bins
+    return (
+        bounded.select(F.least(raw_bin, F.lit(bins)).cast("int").alias("bin"), "low", "high")
+        .groupBy("bin", "low", "high")
+        .agg(F.count(F.lit(1)).alias("events"))
+        .select(
+            "bin",
+            (F.col("low") + (F.col("bin") - 1) * width).alias("bin_low"),
+            (F.col("low") + F.col("bin") * width).alias("bin_high"),
+            "events",
+        )
     )

@@ -75,24 +75,33 @@ def overview(star: Star) -> DataFrame:
     """Events, artists, venues and mean price, in one row and one pass over the fact.
 
     Grouping sets reduce the fact to one row per artist key, one per venue key and a
-    total before anything is shuffled; names are counted over those rows.
+    total before anything is shuffled. The names of both dimensions are joined as one
+    table of (kind, key), so that no join key is NULL for half of the rows.
     """
     artist, venue = star.artists, star.venues
+    level = F.grouping_id()
     cells = star.fact.groupingSets([[artist.key], [venue.key], []], artist.key, venue.key).agg(
-        F.grouping_id().alias("level"),
+        F.when(level == 1, "artist").when(level == 2, "venue").otherwise("total").alias("kind"),
         F.count("event_id").alias("events"),
         F.sum(priced("price_avg")).alias("price_sum"),
         F.count(priced("price_avg")).alias("price_n"),
     )
-    cells = attach(cells, artist.frame, {artist.key: artist.key}, ["artist_name"])
-    cells = attach(cells, venue.frame, {venue.key: venue.key}, ["venue_name"])
-    total = F.col("level") == 3
+    cells = cells.withColumn("key", F.coalesce(F.col(artist.key).cast("string"), F.col(venue.key).cast("string")))
+    names = artist.frame.select(
+        F.lit("artist").alias("kind"), F.col(artist.key).cast("string").alias("key"), F.col("artist_name").alias("name")
+    ).unionByName(
+        venue.frame.select(
+            F.lit("venue").alias("kind"), F.col(venue.key).cast("string").alias("key"), F.col("venue_name").alias("name")
+        )
+    )
+    cells = attach(cells, names, {"kind": "kind", "key": "key"}, ["name"])
+    kind = F.col("kind")
     kpis = cells.agg(
-        F.max(F.when(total, F.col("events"))).alias("events"),
-        F.count_distinct("artist_name").alias("artists"),
-        F.count_distinct("venue_name").alias("venues"),
-        F.max(F.when(total, F.col("price_sum"))).alias("price_sum"),
-        F.max(F.when(total, F.col("price_n"))).alias("price_n"),
+        F.max(F.when(kind == "total", F.col("events"))).alias("events"),
+        F.count_distinct(F.when(kind == "artist", F.col("name"))).alias("artists"),
+        F.count_distinct(F.when(kind == "venue", F.col("name"))).alias("venues"),
+        F.max(F.when(kind == "total", F.col("price_sum"))).alias("price_sum"),
+        F.max(F.when(kind == "total", F.col("price_n"))).alias("price_n"),
     )
     if star.unique_events:
         return kpis.select("events", "artists", "venues", _mean_price().alias("avg_price"))

@@ -173,7 +173,7 @@ CTES = {
     # The star of the reports, by natural keys
     "latest": """
       select * from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc nulls first,
-        l_partkey desc, l_suppkey desc, l_extendedprice desc, l_quantity desc, l_discount desc, l_tax desc) as rn from lineitem)
+        l_partkey desc, l_suppkey desc) as rn from lineitem)
       where rn = 1""",
     "halls": f"""
       select s_suppkey as venue_key, s_name as venue_name, {title('n_name')} as city, r_name as state

@@ -37,7 +37,7 @@ PLACE_ROWS = [
 ]
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
-LINE_TIES = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+LINE_TIES = ["l_partkey", "l_suppkey"]  # unique within order, line and ship date
 RAW_TIES = {
     "raw_ticketmaster_events": ["event_name", "venue_name", "price_max", "venue_id", "price_min", "event_date"],
     "raw_spotify_artists": ["artist_id", "monthly_listeners"],
