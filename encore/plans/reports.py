@@ -322,7 +322,7 @@ def top_venues(star: Star, k: int = 15) -> DataFrame:
 
 def market_kpis(star: Star, state: str | None = None) -> DataFrame:
     """Events, venues, artists and mean price per state."""
-    cells = star.rollup("state", "venue_name", "artist_name", keep_null=True)
+    cells = star.cells("state", "venue_name", "artist_name")
     cells = selected(known(cells, "state"), "state", state)
     rest = cells.groupBy("state").agg(
         F.count_distinct("venue_name").alias("venues"),

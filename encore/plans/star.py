@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from encore.functions.calendar import weekend_label
 from encore.functions.money import priced
+from encore.operators.filters import known
 from encore.operators.joins import attach
 
 
+MEASURES = ["events", "event_rows", "price_sum", "price_n"]
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A dimension table and the column that the fact refers to it by."""
@@ -73,27 +77,33 @@ class Star:
         ]
         return wide.select(*columns, weekend_label("is_weekend").alias("is_weekend"))
 
-    def rollup(self, *attributes: str, keep_null: bool = False) -> DataFrame:
-        """Events per combination of attributes: ``events`` (known ids), ``event_rows``,
-        ``price_sum`` and ``price_n`` (positive prices). Unused measures are pruned.
+    def cells(self, *attributes: str) -> DataFrame:
+        """Events per combination of dimension keys, with the attributes joined to it.
 
-        Combinations with a NULL attribute are dropped unless ``keep_null``.
+        Measures: ``events`` (known ids), ``event_rows``, ``price_sum`` and ``price_n``
+        (positive prices); those not used are pruned. Combinations of attributes may
+        repeat, so sums and distinct counts over cells equal those over events.
         """
         supply = self.dimensions_of(*attributes)
-        per_key = self.fact.groupBy(*[d.key for d, _ in supply]).agg(
+        cells = self.fact.groupBy(*[d.key for d, _ in supply]).agg(
             F.count("event_id").alias("events"),
             F.count(F.lit(1)).alias("event_rows"),
             F.sum(priced("price_avg")).alias("price_sum"),
             F.count(priced("price_avg")).alias("price_n"),
         )
         for dim, own in supply:
-            per_key = attach(per_key, dim.frame, {dim.key: dim.key}, own)
+            cells = attach(cells, dim.frame, {dim.key: dim.key}, own)
+        return cells.select(*attributes, *MEASURES)
+
+    def rollup(self, *attributes: str, keep_null: bool = False) -> DataFrame:
+        """The measures of ``cells`` per combination of attributes.
+
+        Combinations with a NULL attribute are dropped unless ``keep_null``.
+        """
+        cells = self.cells(*attributes)
         if not keep_null:
-            for a in attributes:
-                per_key = per_key.where(F.col(a).isNotNull())
-        return per_key.groupBy(*attributes).agg(
-            *[F.sum(m).alias(m) for m in ("events", "event_rows", "price_sum", "price_n")]
-        )
+            cells = known(cells, *attributes)
+        return cells.groupBy(*attributes).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
     def distinct_events(self, attribute: str) -> DataFrame:
         """Distinct events per attribute value, exact also where dimension keys repeat."""
@@ -102,9 +112,9 @@ class Star:
         if self.unique_events:
             counts = self.fact.groupBy(dim.key).agg(F.count("event_id").alias("events"))
             counts = attach(counts, pairs, {dim.key: dim.key}, [attribute])
-            return counts.where(F.col(attribute).isNotNull()).groupBy(attribute).agg(F.sum("events").alias("events"))
+            return known(counts, attribute).groupBy(attribute).agg(F.sum("events").alias("events"))
         rows = attach(self.fact.select(dim.key, "event_id"), pairs, {dim.key: dim.key}, [attribute])
-        return rows.where(F.col(attribute).isNotNull()).groupBy(attribute).agg(self.events_counted().alias("events"))
+        return known(rows, attribute).groupBy(attribute).agg(self.events_counted().alias("events"))
 
     def seen(self, dim: Dimension) -> DataFrame:
         """Rows of a dimension that at least one event refers to."""
