@@ -6,6 +6,8 @@ broadcast, and a popular artist would make a skewed join. Instead ``rollup``
 first aggregates the fact on the dimension keys, which needs no more than the key
 columns and is combined map-side, and joins one row per key. A dimension key that
 repeats still multiplies the counts exactly as the row-wise join does.
+
+With ``unique_events`` only the dimensions a report asks for are touched.
 """
 
 from __future__ import annotations
@@ -35,9 +37,9 @@ class Dimension:
 class Star:
     """A fact with its dimensions.
 
-    ``unique_events`` states that the fact holds every event once, as it does after
-    ``latest_per_key`` with unique dimension keys (the uniqueness check tells). It
-    turns distinct event counts into plain counts.
+    ``unique_events`` states that the fact holds every event once and that dimension
+    keys do not repeat, as after a strict build (the uniqueness checks tell). It turns
+    distinct event counts into plain counts and leaves unused dimensions out.
     """
 
     fact: DataFrame
@@ -82,9 +84,14 @@ class Star:
 
         Measures: ``events`` (known ids), ``event_rows``, ``price_sum`` and ``price_n``
         (positive prices); those not used are pruned. Combinations of attributes may
-        repeat, so sums and distinct counts over cells equal those over events.
+        repeat, so sums and distinct counts over cells equal those over events. Unless
+        keys are known to be unique, the other dimensions are joined too, since a key
+        that repeats there multiplies the rows of every analysis.
         """
         supply = self.dimensions_of(*attributes)
+        if not self.unique_events:
+            asked = [d for d, _ in supply]
+            supply += [(d, []) for d in (self.artists, self.venues, self.dates) if d not in asked]
         cells = self.fact.groupBy(*[d.key for d, _ in supply]).agg(
             F.count("event_id").alias("events"),
             F.count(F.lit(1)).alias("event_rows"),
