@@ -7,9 +7,10 @@ so that Spark plans the fact's joins from their real sizes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from encore.operators.checks import Check, not_null, run_checks, unique
 from encore.operators.lookup import geocode
@@ -45,6 +46,15 @@ class Models:
     dim_dates: DataFrame
     fact_events: DataFrame
 
+    @classmethod
+    def read(cls, spark: SparkSession, location: str, raw: dict[str, DataFrame]) -> "Models":
+        """The models of an earlier build: its tables, and the staging views over the raw tables."""
+        small = staged(raw)
+        stored = {
+            f.name: spark.read.parquet(f"{location}/{f.name}") for f in fields(cls) if f.name not in small
+        }
+        return cls(**stored, **small)
+
     def star(self, places: DataFrame | None = None, unique_events: bool = False) -> Star:
         """The star for the reports; with ``places`` the venues carry coordinates."""
         venues = self.dim_venues if places is None else geocode(self.dim_venues, places)
@@ -65,26 +75,41 @@ class Models:
         return report
 
 
+def staged(raw: dict[str, DataFrame], tiebreaks: dict[str, list] | None = None) -> dict[str, DataFrame]:
+    """The staging models that stay views."""
+    ties = tiebreaks or {}
+    return {
+        "stg_spotify_artists": staging.stg_spotify_artists(raw["raw_spotify_artists"], ties.get("raw_spotify_artists")),
+        "stg_seatgeek_performers": staging.stg_seatgeek_performers(
+            raw["raw_seatgeek_performers"], ties.get("raw_seatgeek_performers")
+        ),
+        "stg_seatgeek_events": staging.stg_seatgeek_events(raw["raw_seatgeek_events"], ties.get("raw_seatgeek_events")),
+        "stg_tour_revenue": staging.stg_tour_revenue(raw["raw_tour_revenue"]),
+    }
+
+
 def build(
     raw: dict[str, DataFrame],
     location: str,
     strict: bool = False,
     tiebreaks: dict[str, list] | None = None,
+    partition_fact_by: Sequence[str] = (),
 ) -> Models:
-    """Build all models; tables go below ``location``, a folder that all executors share."""
+    """Build all models; tables go below ``location``, a folder that all executors share.
+
+    Partition the fact, for instance by ``event_date``, where its volume justifies it.
+    """
     ties = tiebreaks or {}
     events = materialise(
         staging.stg_ticketmaster_events(raw["raw_ticketmaster_events"], ties.get("raw_ticketmaster_events")),
         f"{location}/stg_ticketmaster_events",
     )
-    listeners = staging.stg_spotify_artists(raw["raw_spotify_artists"], ties.get("raw_spotify_artists"))
-    performers = staging.stg_seatgeek_performers(
-        raw["raw_seatgeek_performers"], ties.get("raw_seatgeek_performers")
-    )
-    listings = staging.stg_seatgeek_events(raw["raw_seatgeek_events"], ties.get("raw_seatgeek_events"))
-    tours = staging.stg_tour_revenue(raw["raw_tour_revenue"])
+    small = staged(raw, ties)
+    listeners, performers = small["stg_spotify_artists"], small["stg_seatgeek_performers"]
     artists = materialise(marts.dim_artists(events, listeners, performers, strict), f"{location}/dim_artists")
     venues = materialise(marts.dim_venues(events, strict), f"{location}/dim_venues")
     dates = materialise(marts.dim_dates(events), f"{location}/dim_dates")
-    fact = materialise(marts.fact_events(events, artists, venues, dates), f"{location}/fact_events")
-    return Models(events, listeners, performers, listings, tours, artists, venues, dates, fact)
+    fact = materialise(marts.fact_events(events, artists, venues, dates), f"{location}/fact_events", partition_fact_by)
+    return Models(
+        stg_ticketmaster_events=events, dim_artists=artists, dim_venues=venues, dim_dates=dates, fact_events=fact, **small
+    )

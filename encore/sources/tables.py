@@ -69,7 +69,7 @@ def materialise(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tab
 INVENTORY = {
     "src": 12, "prj": 13, "flt": 8, "jn": 11, "ag": 13, "win": 2, "srt": 6, "set": 4, "scl": 29, "qc": 3, "udf": 3, "q": 23,
 }
-WRITES = ("q1_", "q23_", "src6", "src7", "src9", "src11")
+WRITES = ("q1_", "q23_", "jn1_", "src6", "src7", "src9", "src11")
 
 
 @pytest.fixture(scope="module")
@@ -48,17 +48,16 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
-def test_no_cross_joins_and_no_python(spark, broadcast):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+def test_no_cross_joins_and_no_python(spark):
+    """Planned as if no table were small: every join still has an equality to shuffle by."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name, query in entry.queries().items():
             if name.startswith(WRITES):
                 continue
             plan = plan_of(query(spark, FOLDER))
-            for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "ExistingRDD"):
+            for node in ("Cartesian", "NestedLoop", "BroadcastHashJoin", "Python", "InPandas", "ExistingRDD"):
                 assert node not in plan, (name, node)
-            assert broadcast != "-1" or "BroadcastHashJoin" not in plan, name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -299,13 +299,13 @@ FREQUENT = """
 
 @query("q22_frequent_artists", FREQUENT)
 def frequent_artists(t):
-    return reports.frequent_artists(roles.raw_events(t))
+    return reports.frequent_artists(roles.raw_artist_names(t))
 
 
 @query("q22_artists_to_find", f"""
   select * from ({FREQUENT}) where lower(artist_name) not in (select lower(artist_name) from raw_listeners)""")
 def artists_to_find(t):
-    return reports.artists_to_find(roles.raw_events(t), roles.raw_listeners(t))
+    return reports.artists_to_find(roles.raw_artist_names(t), roles.raw_listeners(t))
 
 
 def _checks(table: str, cte: str) -> str:

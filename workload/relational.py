@@ -13,7 +13,7 @@ from encore.operators.scaffold import fill_days
 from encore.plans import marts, reports
 
 from . import roles
-from .analyses import MEAN
+from .analyses import MEAN, built_models
 from .registry import query
 
 SEGMENT = "nullif(c_mktsegment, 'HOUSEHOLD')"
@@ -84,10 +84,7 @@ def geocoded_only(t):
 @query("jn1_star_build", """
   select event_id, f.artist_key, f.venue_key, date_key from fact f""")
 def star_build(t):
-    events, listeners, performers = roles.stg_events(t), roles.stg_listeners(t), roles.stg_performers(t)
-    artists = marts.dim_artists(events, listeners, performers)
-    fact = marts.fact_events(events, artists, marts.dim_venues(events), marts.dim_dates(events))
-    return fact.select("event_id", "artist_key", "venue_key", "date_key")
+    return built_models(t).fact_events.select("event_id", "artist_key", "venue_key", "date_key")
 
 
 @query("jn2_star_read", """

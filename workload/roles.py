@@ -93,6 +93,14 @@ def places_of_lines(t: Tables) -> DataFrame:
     return t.lineitem.join(venues, F.col("l_suppkey") == F.col("s_suppkey"), "left")
 
 
+def raw_artist_names(t: Tables) -> DataFrame:
+    """The artist column of the raw events alone: no venue is joined for it."""
+    owners = t.orders.select("o_orderkey", artist_id().alias("artist_id")).where(F.col("artist_id").isNotNull())
+    names = t.customer.select("c_custkey", messy_artist().alias("artist_name"))
+    lines = t.lineitem.select("l_orderkey").join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(names, F.col("artist_id") == F.col("c_custkey"), "left").select("artist_name")
+
+
 def raw_events(t: Tables) -> DataFrame:
     artists = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     lines = places_of_lines(t).join(artists, F.col("l_orderkey") == F.col("o_orderkey"), "left")
