@@ -4,7 +4,9 @@ No side is ever forced to broadcast: table sizes grow with the data, so Spark
 picks a broadcast only when the measured size is under its threshold
 (``spark.sql.autoBroadcastJoinThreshold``, at planning time from file sizes and
 at run time from shuffle sizes) and shuffles, splitting skewed partitions,
-otherwise. Only rows written out in code are hinted, see ``sources.reference``.
+otherwise. Splitting works where both sides come straight from a shuffle: join events
+to a dimension that is a table (``plans.build`` writes them), or aggregate events on
+the key first (``plans.star``).
 """
 
 from __future__ import annotations
@@ -56,9 +58,14 @@ def left_by_name_key(
 
 
 def without_names(df: DataFrame, excluded: DataFrame, name: str) -> DataFrame:
-    """Rows whose name is not among the excluded names, ignoring case."""
-    names = excluded.select(F.lower(name).alias("__name")).distinct()
-    return df.join(names, F.lower(df[name]) == names["__name"], "left_anti")
+    """Rows whose name is not among the excluded names, ignoring case.
+
+    The excluded names are reduced to distinct spellings, not to distinct keys: both
+    sides then come straight from a shuffle on the key, which lets Spark split a name
+    that holds much of the left side.
+    """
+    names = excluded.select(F.col(name).alias("__name")).distinct()
+    return df.join(names, same_name(df[name], names["__name"]), "left_anti")
 
 
 def union_with_precedence(first: DataFrame, second: DataFrame, name: str) -> DataFrame:
