@@ -19,9 +19,10 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 ONLY = tuple(p for p in os.environ.get("BENCH_ONLY", "q1,q2,q3,q4,q5,q6,q7,q8,q9").split(",") if p)
 
 
-def consume(df) -> None:
-    """Produce every row and column without bringing them to the driver."""
+def consume(df) -> int:
+    """Produce every row and column without bringing them to the driver; number of scans planned."""
     df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan")
 
 
 def shuffled_bytes(spark) -> int:
@@ -43,11 +44,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in QUERIES if n.startswith(ONLY)]
     consume(run("q3_top_artists", spark, FOLDER))  # start-up and compilation are not measured
-    seconds, shuffled = {}, {}
+    seconds, shuffled, scans = {}, {}, {}
     for name in names:
         before = shuffled_bytes(spark)
         start = time.perf_counter()
-        consume(run(name, spark, FOLDER))
+        scans[name] = consume(run(name, spark, FOLDER))
         seconds[name] = round(time.perf_counter() - start, 3)
         shuffled[name] = shuffled_bytes(spark) - before
     spark.stop()
@@ -57,6 +58,7 @@ def main() -> None:
         "unit": "sec",
         "queries": seconds,
         "shuffle_bytes": shuffled,
+        "scans": scans,
         "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
     }))
 

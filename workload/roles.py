@@ -86,6 +86,27 @@ def messy_artist() -> Column:
 # Raw tables -------------------------------------------------------------------------------
 
 
+def messy_venues(t: Tables) -> DataFrame:
+    """Venue texts, spelled per venue and not per event."""
+    venues = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    venues = venues.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return venues.select(
+        "s_suppkey",
+        F.lower("s_name").alias("venue_name"),
+        F.lower("n_name").alias("city"),
+        F.concat(F.lower("r_name"), F.lit(" ")).alias("state"),
+    )
+
+
+def messy_artists(t: Tables) -> DataFrame:
+    """Artist texts, spelled per artist and not per event."""
+    return t.customer.select(
+        "c_custkey",
+        messy_artist().alias("artist_name"),
+        F.concat(F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")), F.lit(" ")).alias("genre"),
+    )
+
+
 def places_of_lines(t: Tables) -> DataFrame:
     """Lines with supplier, nation and region."""
     venues = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
@@ -102,26 +123,27 @@ def raw_artist_names(t: Tables) -> DataFrame:
 
 
 def raw_events(t: Tables) -> DataFrame:
-    artists = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    lines = places_of_lines(t).join(artists, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    known = artist_id().isNotNull()
+    owners = t.orders.select("o_orderkey", F.lower("o_orderstatus").alias("status"), artist_id().alias("artist_id"))
+    owners = owners.join(messy_artists(t), F.col("artist_id") == F.col("c_custkey"), "left")
+    lines = t.lineitem.join(messy_venues(t), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    lines = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         F.concat(F.lit(" show "), F.lpad(F.col("l_partkey").cast("string"), 12, "0"), F.lit(" ")).alias("event_name"),
         F.concat(F.lit("https://events.example.com/"), "l_orderkey", F.lit("/"), "l_linenumber", F.lit(" ")).alias("event_url"),
         event_date().cast("string").alias("event_date"),
         F.concat(F.lpad((F.col("l_linenumber") + 12).cast("string"), 2, "0"), F.lit(":30:00")).alias("event_time"),
-        F.concat(F.lit(" "), F.lower("o_orderstatus")).alias("sale_status"),
-        F.when(known, messy_artist()).alias("artist_name"),
-        artist_id().cast("string").alias("artist_id"),
-        F.lower("s_name").alias("venue_name"),
+        F.concat(F.lit(" "), "status").alias("sale_status"),
+        "artist_name",
+        F.col("artist_id").cast("string").alias("artist_id"),
+        "venue_name",
         venue_id().cast("string").alias("venue_id"),
-        F.lower("n_name").alias("city"),
-        F.concat(F.lower("r_name"), F.lit(" ")).alias("state"),
+        "city",
+        "state",
         low_price().cast("double").alias("price_min"),
         high_price().cast("double").alias("price_max"),
         F.lit("usd ").alias("currency"),
-        F.when(known, F.concat(F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")), F.lit(" "))).alias("genre"),
+        "genre",
         F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
     )
 
@@ -164,7 +186,8 @@ def raw_performers(t: Tables) -> DataFrame:
 
 def raw_listings(t: Tables) -> DataFrame:
     """Lines of an order are the readings of one listing."""
-    return places_of_lines(t).select(
+    lines = t.lineitem.join(messy_venues(t), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("event_id"),
         F.concat(F.lit(" listing "), "l_orderkey").alias("event_title"),
         F.concat(F.lit("https://tickets.example.com/e/"), "l_linenumber").alias("event_url"),
@@ -173,10 +196,10 @@ def raw_listings(t: Tables) -> DataFrame:
         F.lit(" concert").alias("event_type"),
         F.concat(F.lit("act/no-"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("performer_name"),
         F.col("l_partkey").cast("string").alias("performer_id"),
-        F.lower("s_name").alias("venue_name"),
+        "venue_name",
         F.col("l_suppkey").cast("string").alias("venue_id"),
-        F.lower("n_name").alias("city"),
-        F.lower("r_name").alias("state"),
+        "city",
+        "state",
         low_price().cast("double").alias("lowest_price"),
         midpoint(low_price(), high_price()).cast("double").alias("average_price"),
         high_price().cast("double").alias("highest_price"),
