@@ -39,15 +39,15 @@ def columns_of(table: str) -> list[str]:
 
 def ingest(spark: SparkSession, kind: str, feeds: Sequence[str], raw: str) -> None:
     """Append one load. Events and listings are kept once per id: the first feed wins, within
-    a feed the first file; equal ids in one file are told apart by their content."""
+    a feed the first file; equal ids in one file are told apart by a hash of their content."""
     schema, flatten, table = KINDS[kind]
     docs = landed.union_feeds(*[
         landed.read_landed(spark, path, schema).withColumn("landed_file", F.col("_metadata.file_path")) for path in feeds
     ])
     if kind in ("events", "listings"):
         content = [c for c in docs.columns if c not in ("id", "feed_rank", "landed_file")]
-        docs = docs.withColumn("id", F.col("id").cast("string")).withColumn("landed_text", F.to_json(F.struct(*content)))
-        docs = keep_first(docs, "id", ["feed_rank", "landed_file", "landed_text"], drop_missing=kind == "events")
+        docs = docs.withColumn("id", F.col("id").cast("string")).withColumn("content_hash", F.xxhash64(*content))
+        docs = keep_first(docs, "id", ["feed_rank", "landed_file", "content_hash"], drop_missing=kind == "events")
     tables.append_rows(flatten(docs), f"{raw}/{table}", columns_of(table))
 
 

@@ -32,14 +32,19 @@ def distinct_counts(columns: dict[str, str], approximate: bool = False) -> list[
     return [count(F.col(c)).alias(name) for name, c in columns.items()]
 
 
+def mean(value) -> Column:
+    """Sum over count: exact for decimals, where ``avg`` would round. NULL if nothing counts."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+
+
 def mean_where_positive(value: str, name: str) -> Column:
     """Mean of the positive values in the same pass as other aggregates; NULL if there are none."""
-    return F.avg(priced(value)).cast("double").alias(name)
+    return mean(priced(value)).alias(name)
 
 
 def mean_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Mean of a value per non-NULL key."""
-    return known(df, key).groupBy(key).agg(F.avg(value).cast("double").alias(name))
+    return known(df, key).groupBy(key).agg(mean(F.col(value)).alias(name))
 
 
 def most_frequent(counts: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:

@@ -232,12 +232,7 @@ def filtered_mean(t):
 def mean_per_key(t):
     star = roles.star(t)
     priced = filters.priced_rows(star.fact).join(star.artists.frame, "artist_key", "left")
-    return known_mean(priced)
-
-
-def known_mean(priced):
-    mean = F.sum("price_avg").cast("double") / F.count("price_avg")
-    return filters.known(priced, "genre").groupBy("genre").agg(mean.alias("avg_price"))
+    return aggregates.mean_by(priced, "genre", "price_avg", "avg_price")
 
 
 @query("ag8_sums_and_gap", """
