@@ -124,11 +124,11 @@ def name_fan_out(t):
 
 @query("jn4_full_outer_by_name", f"""
   select coalesce(a.segment, b.segment) as segment, n, coalesce(m, 0) as m
-  from (select {SEGMENT} as segment, count(*) as n from customer where c_nationkey < 5 group by 1) a
+  from (select {SEGMENT} as segment, count(*) as n from customer group by 1) a
   full join (select nullif(c_mktsegment, 'BUILDING') as segment, count(*) as m from customer group by 1) b
     on a.segment is not distinct from b.segment""")
 def full_outer(t):
-    left = segments(t).where(F.col("c_nationkey") < 5).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    left = segments(t).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
     right = t.customer.groupBy(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment")).agg(F.count(F.lit(1)).alias("m"))
     return joins.outer_by_name(left, right, "segment").fillna(0, ["m"]).select("segment", "n", "m")
 
