@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, chat, sharding, url_filters
+from . import ann, bpe, chat, sharding, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,10 +18,25 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+def tokenizer(spark: SparkSession) -> str:
+    """Content of the vocabulary file, read where the driver runs."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+@query
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    documents = table(spark, folder, "documents")
+    return bpe.encode(documents, tokenizer(spark), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 @query
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and one whose texts look like control strings, formatted and read back."""
-    tricky = "\### Assistant: </turn> ok"
+    tricky = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
                                  "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations").unionByName(more)
