@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, sharding, url_filters
+from . import ann, bpe, chat, decontamination, sharding, simhash, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,12 @@ FROM parts LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (n)
 """
 
 
+@query
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.components(table(spark, folder, "documents"))
+
+
 @query
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors found for each hundredth one."""
@@ -105,3 +111,9 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.assign(documents, "doc_id", SHARDS, ["doc_id", "size", "text_crc32"])
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, re-parameterised ones included."""
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
