@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import checkpointed
+
 WINDOW, SIMILARITY = 5, 0.8
 #: Windows of a benchmark that are broadcast, at most (some 24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
@@ -42,23 +44,36 @@ def template(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(slots), r"[^\p{L}\p{M}⟦⟧]+", " ")), " ")
 
 
-def windows(tokens: Column, width: int = WINDOW) -> Column:
-    """Hashes of all windows of tokens, in order; none for fewer tokens."""
-    starts = F.when(F.size(tokens) >= width, F.sequence(F.lit(1), F.size(tokens) - width + 1)).otherwise(
+def _starts(tokens: Column, width: int) -> Column:
+    return F.when(F.size(tokens) >= width, F.sequence(F.lit(1), F.size(tokens) - width + 1)).otherwise(
         F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, width)))
 
 
-def _slots(tokens: Column, values: Column, width: int) -> Column:
-    """Windows with a placeholder as (hash, values), values null where a token is a word."""
-    places = F.filter(F.sequence(F.lit(1), F.size(tokens)), lambda i: F.startswith(F.element_at(tokens, i), F.lit("⟦")))
-    valued = F.transform(tokens, lambda t, i: F.when(
-        F.startswith(t, F.lit("⟦")), F.try_element_at(values, F.array_position(places, i + 1).cast("int"))))
-    starts = F.when(F.size(tokens) >= width, F.sequence(F.lit(1), F.size(tokens) - width + 1)).otherwise(
-        F.array().cast("array<int>"))
-    each = F.transform(starts, lambda i: F.struct(
-        F.xxhash64(F.slice(tokens, i, width)).alias("hash"), F.slice(valued, i, width).alias("values")))
-    return F.filter(each, lambda w: F.exists(w["values"], lambda v: v.isNotNull()))
+def windows(rows: DataFrame, key: str, width: int = WINDOW) -> DataFrame:
+    """(key, hash) of all windows of the column ``marked``.
+
+    Tokens are a column of their own before windows are cut: inside a lambda an expression would be
+    evaluated again for every window.
+    """
+    tokens = rows.select(key, template(F.col("marked")).alias("tokens"))
+    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.xxhash64(F.slice("tokens", i, width)))
+    return tokens.select(key, F.explode(each).alias("hash"))
+
+
+def slots(rows: DataFrame, key: str, name: str, width: int = WINDOW) -> DataFrame:
+    """(key, hash, values) of the windows with a placeholder; values are null where a token is a word."""
+    is_slot = lambda t: F.startswith(t, F.lit("⟦"))
+    split = rows.select(key, template(F.col("marked")).alias("tokens"),
+                        F.regexp_extract_all("marked", F.lit(SLOT), F.lit(1)).alias("given"))
+    # slots before each token: a running count, then the value at that count
+    placed = split.select(key, "tokens", "given", F.filter(
+        F.sequence(F.lit(1), F.size("tokens")), lambda i: is_slot(F.element_at("tokens", i))).alias("places"))
+    valued = placed.select(key, "tokens", F.transform("tokens", lambda t, i: F.when(
+        is_slot(t), F.try_element_at("given", F.array_position("places", i + 1).cast("int")))).alias("values"))
+    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.struct(
+        F.xxhash64(F.slice("tokens", i, width)).alias("hash"), F.slice("values", i, width).alias("values")))
+    cut = valued.select(key, F.explode(each).alias("w"))
+    return cut.select(key, "w.hash", F.col("w.values").alias(name)).where(F.exists(name, lambda v: v.isNotNull()))
 
 
 def contaminated(
@@ -74,12 +89,11 @@ def contaminated(
     id count as one document, also with one item id as one item. Empty tables give no
     rows; extra columns are ignored.
     """
-    spark = documents.sparkSession
     items = benchmark.select(F.col(f"`{item}`").alias("item"), marked(F.col("text")).alias("marked")).where("item IS NOT NULL")
-    item_windows = items.select("item", F.explode(windows(template(F.col("marked")), width)).alias("hash")).distinct()
+    item_windows = windows(items, "item", width).distinct()
     totals = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
     source = documents.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id IS NOT NULL")
-    in_documents = source.select("id", F.explode(windows(template(marked(F.col("text"))), width)).alias("hash"))
+    in_documents = windows(source.select("id", marked(F.col("text")).alias("marked")), "id", width)
     few = item_windows.count() <= BROADCAST_WINDOWS
 
     def small(side: DataFrame) -> DataFrame:
@@ -89,19 +103,10 @@ def contaminated(
     counted = shared.groupBy("id", "item").agg(F.count("*").alias("found")).join(small(totals), "item")
     candidates = counted.where(F.col("found") >= similarity * F.col("n_windows"))
 
-    def slots(rows: DataFrame, key: str, name: str) -> DataFrame:
-        values = F.regexp_extract_all(F.col("marked"), F.lit(SLOT), F.lit(1))
-        found = rows.select(key, F.explode(_slots(template(F.col("marked")), values, width)).alias("w"))
-        return found.select(key, F.col("w.hash").alias("hash"), F.col("w.values").alias(name))
-
-    from encore.sources.tables import new_location  # the candidates are read twice: kept as a table
-
-    place = new_location(spark, "candidates")
-    candidates.write.parquet(place)
-    candidates = spark.read.schema(candidates.schema).parquet(place)
+    candidates = checkpointed(candidates)  # read three times
     suspects = source.join(candidates.select("id").distinct(), "id", "left_semi").select("id", marked(F.col("text")).alias("marked"))
-    asked = slots(items, "item", "asked").join(candidates.select("id", "item"), "item")
-    pairs = slots(suspects, "id", "given").join(asked, ["id", "hash"]).select(
+    asked = slots(items, "item", "asked", width).join(candidates.select("id", "item"), "item")
+    pairs = slots(suspects, "id", "given", width).join(asked, ["id", "hash"]).select(
         "id", "item", F.explode(F.arrays_zip("asked", "given")).alias("v")).where("v.asked IS NOT NULL AND v.given IS NOT NULL")
     per_value = pairs.groupBy("id", "item", F.lower("v.asked").alias("asked")).agg(
         F.min(F.lower("v.given")).alias("low"), F.max(F.lower("v.given")).alias("high"))

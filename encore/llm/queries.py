@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, decontamination, sharding, simhash, url_filters
+from . import ann, bpe, chat, decontamination, sharding, simhash, suffix_dedup, toxicity, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+@query
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that a document of a smaller id has."""
+    done = suffix_dedup.without_repeats(table(spark, folder, "documents"), texts=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -86,6 +94,15 @@ FROM parts LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (n)
 """
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by a grammar learnt from the labels that are not held out."""
+    documents = table(spark, folder, "documents")
+    model = toxicity.learn(documents, table(spark, folder, "labels"))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
