@@ -2,8 +2,72 @@
 
 from __future__ import annotations
 
-from encore.llm.queries import ORACLES, QUERIES
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-ALL = {**QUERIES}
+from encore.llm import bpe, decontamination, simhash, suffix_dedup, toxicity
+from encore.llm.common import checkpointed, table
+from encore.llm.queries import ORACLES, QUERIES, tokenizer
 
-__all__ = ["ALL", "ORACLES"]
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the grammar does not reject."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=COLUMNS).where("predicted = 0").select(COLUMNS)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints, that of the smallest id.
+
+    Rows without an id cannot be told apart and stay; of rows that repeat an id one stays.
+    """
+    groups = simhash.components(docs)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(COLUMNS).union(docs.where("doc_id IS NULL").select(COLUMNS))
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their texts without long passages that a document of a smaller id has."""
+    others = [c for c in COLUMNS if c not in ("doc_id", "text", "n_chars")]
+    left = suffix_dedup.without_repeats(docs, keep=others, whole_characters=True)
+    text = F.col("kept").cast("string")
+    return left.select("doc_id", text.alias("text"), *others, F.char_length(text).cast("long").alias("n_chars"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document and digests of them and of the decoded text."""
+    return bpe.encode(docs, tokenizer(spark), keep=["doc_id", "lang", "source"],
+                      outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash near-dedup", without_near_duplicates),
+    ("suffix-array dedup", without_repeated_passages),
+    ("benchmark decontamination", without_benchmark),
+    ("bpe encoding and decoding", encoded),
+]
+
+#: SQL cannot express the stages; tests hold them against brute-force versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each reads what the one before has written."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+ALL = {**QUERIES, "pipeline": run}
+
+__all__ = ["ALL", "ORACLES", "ORACLE_SQL", "STAGES", "run"]

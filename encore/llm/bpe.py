@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -20,6 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from .common import named
@@ -40,6 +42,20 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(PRINTABLE) else chr(next(shifted)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> re.Pattern[str]:
+    """A character without a category in Python's Unicode tables."""
+    ranges, start = [], None
+    for c in range(0x110001):
+        here = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
+        if here and start is None:
+            start = c
+        elif not here and start is not None:
+            ranges.append(f"{re.escape(chr(start))}-{re.escape(chr(c - 1))}")
+            start = None
+    return re.compile("[" + "".join(ranges) + "]")
+
+
 class Vocabulary:
     """Tables of a tokenizer file with byte-level words, an end-of-word suffix and lower-cased NFC texts."""
 
@@ -66,8 +82,21 @@ class Vocabulary:
         self.none = len(merges)  # the rank of a pair that does not merge
         self.special = special
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
+        self.splitter = tokenizers.Tokenizer.from_str(content)
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
+    def split(self, text: str) -> list[str]:
+        """Words of a text without special tokens.
+
+        Characters that Python's tables do not know, but those of the installed libraries may, are
+        rare; a text with one is split by the library that defines the vocabulary.
+        """
+        if not text.isascii() and unassigned().search(text):
+            plain = self.splitter.normalizer.normalize_str(text)
+            return [plain[a:b] for _, (a, b) in self.splitter.pre_tokenizer.pre_tokenize_str(plain)]
+        # lower case by character, so no form of sigma depends on its place
+        return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of token ids; negative ids are places outside the word."""
         key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
@@ -170,9 +199,7 @@ class Encoder:
                 if k % 2:
                     words.append(part)
                 else:
-                    # lower case by character, so no form of sigma depends on its place
-                    plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                    words.extend(self.v.words.findall(plain))
+                    words.extend(self.v.split(part))
             yield words
 
     def learn(self, words: set[str]) -> list[str]:
@@ -253,11 +280,12 @@ def encode(
             self.text.update(gap + tokens.encode())
             self.n_tokens += n
             if whole:
-                self.ids.extend(map(int, numbers.split(" ")))
+                self.ids.append(np.fromstring(numbers, dtype=np.int32, sep=" "))
                 self.pieces.append(tokens)
 
         def row(self) -> dict:
-            return {"n_tokens": self.n_tokens, "ids": self.ids, "decoded": " ".join(self.pieces),
+            ids = np.concatenate([np.zeros(0, dtype=np.int32), *self.ids])
+            return {"n_tokens": self.n_tokens, "ids": ids, "decoded": " ".join(self.pieces),
                     "ids_sha256": self.numbers.hexdigest(), "decoded_sha256": self.text.hexdigest()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

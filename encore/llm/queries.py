@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, decontamination, sharding, simhash, suffix_dedup, toxicity, url_filters
+from . import ann, bpe, chat, decontamination, html_extraction, sharding, simhash, suffix_dedup, toxicity, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ FROM parts LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (n)
 """
 
 
+@query
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract(table(spark, folder, "pages"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored by a grammar learnt from the labels that are not held out."""

@@ -248,6 +248,15 @@ def runs(covered: np.ndarray) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+def inner_characters(text: bytes, start: int, end: int) -> tuple[int, int]:
+    """The span without characters that it covers in part."""
+    while start < end and text[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(text) and text[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
 def covered_bytes(text: Texts, doc: int, starts: np.ndarray) -> np.ndarray:
     marks = np.zeros(len(text.data[doc]) + 1, dtype=np.int32)
     np.add.at(marks, starts, 1)
@@ -257,13 +266,14 @@ def covered_bytes(text: Texts, doc: int, starts: np.ndarray) -> np.ndarray:
 
 def without_repeats(
     rows: DataFrame, id: str = "doc_id", text: str = "text", keep: Sequence[str] = (), length: int = LENGTH,
-    texts: bool = True, chunk_bytes: int = CHUNK_BYTES,
+    texts: bool = True, whole_characters: bool = False, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """(id, *keep, n_bytes, spans, kept, kept_sha256) for every row.
 
     ``spans`` are the removed byte runs (start, end), ``kept`` the remaining bytes in order as binary, or null
     if ``texts`` is false, ``kept_sha256`` their digest in hex. A string also counts if it starts several times only in
-    the smaller document. Null texts are empty. Rows with one id count as one document: they remove
+    the smaller document. With ``whole_characters`` a character of which a span covers
+    only some bytes is kept, so what is left of a text is text. Null texts are empty. Rows with one id count as one document: they remove
     nothing from each other. Rows with a null id come after all others and remove nothing from each other. No rows
     give none; other columns are ignored; a kept column named like a result gives way.
     """
@@ -394,6 +404,8 @@ def without_repeats(
             else:
                 mine = order[bounds[k]:bounds[k + 1]]
                 spans = runs(covered_bytes(texts, k, place[mine][goes[mine]])).tolist()
+            if whole_characters:
+                spans = [x for x in (inner_characters(t, a, b) for a, b in spans) if x[0] < x[1]]
             left, at = [], 0
             for a, b in spans:
                 left.append(t[at:a])

@@ -29,7 +29,7 @@ HELD_OUT_OF, HELD_OUT = 4, 2
 #: Lengths of word beginnings that are features beside whole words.
 STEMS = (4, 5, 6, 7)
 #: A feature of the lexicon is in this share of toxic texts at least, and so many times likelier in them (log odds).
-SUPPORT, LEAST_TEXTS, LEAST_ODDS = 0.01, 5, 3.0
+SUPPORT, LEAST_TEXTS, LEAST_ODDS = 0.01, 5, 4.0
 LEXICON = 5_000
 FEATURES_AT_ONCE = 300_000
 THRESHOLD = 0.3
