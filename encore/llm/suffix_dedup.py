@@ -118,14 +118,15 @@ class Texts:
         n = [len(f[0]) for f in found]
         self.doc = np.repeat(np.arange(len(self.data)), n)
         self.hash, self.first, self.past = (
-            np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
+            np.concatenate([np.zeros(0, kind), *[f[i] for f in found]]) for i, kind in enumerate((np.uint64, np.int64, np.int64)))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct hashes of the anchors, and whether two texts of the chunk have each."""
         order = np.lexsort((self.doc, self.hash))
         h, d = self.hash[order], self.doc[order]
-        new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
-        start = np.flatnonzero(new)
+        if not len(h):
+            return h, np.zeros(0, dtype=bool)
+        start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         last = np.r_[start[1:], len(h)] - 1
         return h[start], d[start] != d[last]
 
@@ -289,18 +290,17 @@ def without_repeats(
     chunk = F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("long").alias("chunk")
     # equal texts: only the least id takes part, the others go where they have it in them
     first = source.groupBy(F.sha2("_text", 256).alias("digest")).agg(F.min("_id").alias("_id"))
-    firsts = first.select(chunk, "_id", "digest")
-    flat = source.select(chunk, "_id", "_text", F.sha2("_text", 256).alias("digest"), *[
+    # one text column names a represented row: a number that may be missing would come to pandas as a float
+    name = F.concat_ws(":", F.col("_id").cast("string"), F.col("digest"))
+    firsts = first.select(chunk, name.alias("first"))
+    flat = source.withColumn("digest", F.sha2("_text", 256)).select(chunk, "_id", "_text", name.alias("name"), *[
         F.col("_row.id").alias("id"), *[F.col(f"_row.k{i}").alias(f"k{i}") for i in range(len(keep))]])
 
     def represented(documents: pd.DataFrame, own: pd.DataFrame) -> Texts:
-        pairs = set(zip(own["_id"], own["digest"]))
-        taken: dict[tuple, bytes] = {}
-        for i, d, t in zip(documents["_id"], documents["digest"], documents["_text"]):
-            if (i, d) in pairs:
-                taken[(i, d)] = t
-        ordered = sorted(taken)
-        return Texts([i for i, _ in ordered], [taken[k] for k in ordered], length)
+        firsts = set(own["first"])
+        taken = {n: (i, t) for n, i, t in zip(documents["name"], documents["_id"], documents["_text"]) if n in firsts}
+        ordered = [taken[n] for n in sorted(taken)]
+        return Texts([i for i, _ in ordered], [t for _, t in ordered], length)
 
     def announce(documents: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         out = {"shard": [], "chunk": [], "packed": [], "several": []}
@@ -358,8 +358,8 @@ def without_repeats(
         return pd.DataFrame(out)
 
     # the first ids travel with the answers, so that a chunk is joined with one other side
-    told = replies.select("chunk", "shard", "bits", F.lit(None).cast("long").alias("_id"), F.lit(None).cast("string").alias("digest")).union(
-        firsts.select("chunk", F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("bits"), "_id", "digest"))
+    told = replies.select("chunk", "shard", "bits", F.lit(None).cast("string").alias("first")).union(
+        firsts.select("chunk", F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("bits"), "first"))
     sent = flat.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
         send, "key long, chunk long, lengths binary, ids binary, body binary")
 
@@ -369,8 +369,7 @@ def without_repeats(
 
     answered = sent.groupBy("key").applyInPandas(answer, "chunk long, shard long, found binary")
     all_told = told.withColumn("found", F.lit(None).cast("binary")).unionByName(answered.select(
-        "chunk", "shard", F.lit(None).cast("binary").alias("bits"), F.lit(None).cast("long").alias("_id"),
-        F.lit(None).cast("string").alias("digest"), "found"))
+        "chunk", "shard", F.lit(None).cast("binary").alias("bits"), F.lit(None).cast("string").alias("first"), "found"))
 
     def finish(documents: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         own = answers[answers["shard"] < 0]
@@ -393,12 +392,12 @@ def without_repeats(
         goes = np.repeat(later, n) | earlier[np.repeat(offset[segments.which], n) + inside]
         place = np.repeat(texts.first[segments.at], n) + inside
         of = np.repeat(doc, n)
-        number = {(i, d): k for k, (i, d) in enumerate(sorted(set(zip(own["_id"], own["digest"]))))}
+        number = {n: k for k, n in enumerate(sorted(set(own["first"])))}
         bounds = np.searchsorted(of, np.arange(len(texts.data) + 1))
         order = np.argsort(of, kind="stable")
         out = []
-        for i, d, t in zip(documents["_id"], documents["digest"], documents["_text"]):
-            if (k := number.get((i, d))) is None:
+        for n, t in zip(documents["name"], documents["_text"]):
+            if (k := number.get(n)) is None:
                 # a copy of a text with a smaller id
                 spans = [(0, len(t))] if len(t) >= length else []
             else:
