@@ -35,6 +35,8 @@ FEATURES_AT_ONCE = 300_000
 THRESHOLD = 0.3
 #: Evidence that more of it adds nothing to.
 FULL = 8.0
+#: Weights without labelled texts of both classes: all texts score alike, below the threshold.
+UNLEARNT = (-3.0, 0.0, 0.0)
 
 #: Fixed word lists of the classes that are not learnt.
 NEGATIONS = "not no never nobody none isn aren wasn weren don doesn nicht kein keine nie niemals pas jamais ne nunca jamás ni".split()
@@ -185,7 +187,7 @@ def learn(
     About ``rows_per_class`` rows of each class at most, picked by a hash of the id; texts
     that repeat count once in the lexicon. Rows with a null id, null label or null text teach nothing; of several
     labels of one id the highest counts. Without toxic or without other rows the model has an empty
-    lexicon and scores all texts alike.
+    lexicon and scores all texts alike, below the threshold.
     """
     spark = documents.sparkSession
     ids = named(labels, [id, label]).toDF("id", "y").where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
@@ -223,7 +225,7 @@ def learn(
         F.count_distinct(F.sha2("text", 256)).alias("count")).collect()}
     n1, n0 = n.get(True, 0), n.get(False, 0)
     if not n1 or not n0:
-        return Model({}, (0.0, 0.0, 0.0))
+        return Model({}, UNLEARNT)
     totals = texts.mapInArrow(counted, "feature string, toxic long, other long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("other") + 0.5) / (n0 + 1.0))
