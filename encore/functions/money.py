@@ -18,10 +18,15 @@ def midpoint(low, high) -> Column:
     return F.when(low.isNotNull() & high.isNotNull(), (low + high) / 2)
 
 
+def is_priced(price) -> Column:
+    """Known, positive and a number: NaN is greater than all numbers in Spark."""
+    price = as_column(price)
+    return (price > 0) & (price.cast("double") != float("nan"))
+
+
 def priced(price) -> Column:
     """The price where it is known and positive, else NULL: feed it to avg, sum or count."""
-    price = as_column(price)
-    return F.when(price > 0, price)
+    return F.when(is_priced(price), as_column(price))
 
 
 def streaming_estimate(

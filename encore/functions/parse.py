@@ -15,7 +15,7 @@ ARTIST_LINK_PATTERN = r"https://open\.spotify\.com/artist/([a-zA-Z0-9]+)"
 def monthly_listeners(text) -> Column:
     """``85,000 Monthly Listeners`` -> 85000; NULL when there is no such phrase."""
     digits = F.replace(F.regexp_extract(as_column(text), LISTENERS_PATTERN, 1), F.lit(","), F.lit(""))
-    return empty_to_null(digits).try_cast("bigint")
+    return empty_to_null(digits).try_cast("decimal(38,0)")
 
 
 def artist_link_id(text) -> Column:

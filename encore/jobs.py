@@ -4,6 +4,7 @@
     python -m encore.jobs build  --raw RAW --out MARTS [--strict]
     python -m encore.jobs check  --raw RAW --out MARTS
     python -m encore.jobs report --raw RAW --out MARTS --reports REPORTS [--strict]
+    python -m encore.jobs find   --raw RAW --out PAGES
 
 Folders are anything Spark can write and every executor can see.
 """
@@ -14,9 +15,12 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from encore import schemas
+from encore.operators.aggregates import distinct_values
 from encore.operators.checks import failed_run
+from encore.operators.joins import union_with_precedence
 from encore.operators.latest import keep_first
 from encore.plans import reports
 from encore.plans.build import Models, build
@@ -39,16 +43,17 @@ def columns_of(table: str) -> list[str]:
 
 def ingest(spark: SparkSession, kind: str, feeds: Sequence[str], raw: str) -> None:
     """Append one load. Events and listings are kept once per id: the first feed wins, within
-    a feed the first file; equal ids in one file are told apart by a hash of their content."""
+    a feed the first file, within a file the first document."""
     schema, flatten, table = KINDS[kind]
     docs = landed.union_feeds(*[
-        landed.read_landed(spark, path, schema).withColumn("landed_file", F.col("_metadata.file_path")) for path in feeds
+        landed.in_landed_order(landed.read_landed(spark, path, schema)) for path in feeds
     ])
     if kind in ("events", "listings"):
-        content = [c for c in docs.columns if c not in ("id", "feed_rank", "landed_file")]
-        docs = docs.withColumn("id", F.col("id").cast("string")).withColumn("content_hash", F.xxhash64(*content))
-        docs = keep_first(docs, "id", ["feed_rank", "landed_file", "content_hash"], drop_missing=kind == "events")
-    tables.append_rows(flatten(docs), f"{raw}/{table}", columns_of(table))
+        docs = docs.withColumn("id", F.col("id").cast("string"))
+        docs = keep_first(docs, "id", ["feed_rank", *landed.POSITION], drop_missing=kind == "events")
+    rows = flatten(docs)
+    rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schemas.RAW_TABLES[table]) if f.name in rows.columns])
+    tables.append_rows(rows, f"{raw}/{table}", columns_of(table))
 
 
 def refresh_tours(spark: SparkSession, raw: str, tours: DataFrame | None = None) -> None:
@@ -57,6 +62,14 @@ def refresh_tours(spark: SparkSession, raw: str, tours: DataFrame | None = None)
     tables.replace_rows(df, f"{raw}/raw_tour_revenue", columns_of("raw_tour_revenue"))
 
 
+def pages_to_read(spark: SparkSession, raw: dict[str, DataFrame], n: int | None = None) -> DataFrame:
+    """Artist pages to read: the curated list, then the artists of the events that it lacks (without a page yet)."""
+    curated = reference.curated_artists(spark)
+    found = reports.artists_to_find(raw["raw_ticketmaster_events"], curated, n).select("artist_name")
+    blank = found.select("artist_name", *[F.lit(None).cast(curated.schema[c].dataType).alias(c) for c in curated.columns if c != "artist_name"])
+    return union_with_precedence(curated, blank.select(*curated.columns), "artist_name")
+
+
 def raw_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     return {name: tables.scan(spark, f"{raw}/{name}", schema) for name, schema in schemas.RAW_TABLES.items()}
 
@@ -69,7 +82,9 @@ def declare(spark: SparkSession, raw: str) -> None:
 
 def check(models: Models) -> DataFrame:
     """The quality report; raises when a check of severity error fails."""
-    report = models.quality_report().persist()
+    found = models.quality_report()
+    # one row for each declared check: kept as rows, so that no check runs twice
+    report = found.sparkSession.createDataFrame(found.collect(), found.schema)
     failed = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures}" for r in failed_run(report).collect()]
     if failed:
         raise ValueError("checks failed: " + "; ".join(failed))
@@ -101,6 +116,8 @@ def analyses(spark: SparkSession, models: Models, unique_events: bool = False) -
         "untapped_artists": reports.untapped_artists(star, listeners),
         "hotspots": reports.hotspots(star),
         "top_states": reports.top_by(star, "state", 15),
+        "states": distinct_values(star.venues.frame, "state"),
+        "genres": distinct_values(star.artists.frame, "genre"),
         "top_venues": reports.top_venues(star),
         "market_kpis": reports.market_kpis(star),
         "market_genres": reports.market_genres(star),
@@ -114,13 +131,14 @@ def analyses(spark: SparkSession, models: Models, unique_events: bool = False) -
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["ingest", "tours", "declare", "build", "check", "report"])
+    parser.add_argument("job", choices=["ingest", "tours", "declare", "build", "check", "report", "find"])
     parser.add_argument("--raw", required=True, help="folder of the raw tables")
     parser.add_argument("--out", help="folder of the built tables")
     parser.add_argument("--reports", help="folder of the written reports")
     parser.add_argument("--kind", choices=list(KINDS))
     parser.add_argument("--landed", nargs="+", default=[], help="landed feeds, first one first")
     parser.add_argument("--strict", action="store_true", help="one row per dimension key")
+    parser.add_argument("--lenient", action="store_true", help="values that cannot be read become NULL")
     args = parser.parse_args()
     spark = session("encore")
     if args.job == "ingest":
@@ -130,9 +148,11 @@ def main() -> None:
     elif args.job == "declare":
         declare(spark, args.raw)
     elif args.job == "build":
-        build(raw_tables(spark, args.raw), args.out, strict=args.strict)
+        build(raw_tables(spark, args.raw), args.out, strict=args.strict, lenient=args.lenient)
+    elif args.job == "find":
+        pages_to_read(spark, raw_tables(spark, args.raw)).write.mode("overwrite").parquet(args.out)
     else:
-        models = Models.read(spark, args.out, raw_tables(spark, args.raw))
+        models = Models.read(spark, args.out)
         if args.job == "check":
             check(models).show(100, truncate=False)
         else:

@@ -73,25 +73,25 @@ def union_distinct(first: DataFrame, second: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
-    """Equal-width histogram: (bin, bin_low, bin_high, events) of the occupied bins.
+    """Equal-width histogram: (bin, bin_low, bin_high, events) of all bins, empty ones included.
 
-    The bounds are one scalar subquery, so no row is joined to them; the second pass
-    over the values reuses the shuffles of the first. The top edge falls into the last
-    bin and equal bounds give a single bin.
+    Values are counted once; bounds and bins are taken from the counts per value. The bounds
+    are scalar subqueries, so no row is joined to them. NULL and NaN are left out. The top edge falls into the last bin,
+    equal bounds give a single bin, no values give no bin.
     """
-    values = known(df, value).select(F.col(value).cast("double").alias("__v"))
-    bounds = values.agg(F.struct(F.min("__v").alias("low"), F.max("__v").alias("high")).alias("b")).scalar()
-    bounded = values.select("__v", bounds.alias("__b")).select("__v", "__b.low", "__b.high")
-    raw_bin = F.coalesce(F.width_bucket("__v", "low", "high", F.lit(bins)), F.lit(1))
+    counts = known(df, value).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(F.col(value).cast("double").alias("v"), "n").where(F.col("v") != float("nan"))
+    bounds = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    both = bounds.select(F.struct("low", "high")).scalar()
+    placed = counts.select("v", "n", both.alias("b")).select("v", "n", "b.low", "b.high")
+    raw_bin = F.coalesce(F.width_bucket("v", "low", "high", F.lit(bins)), F.lit(1))
+    filled = placed.groupBy(F.least(raw_bin, F.lit(bins)).cast("int").alias("bin")).agg(F.sum("n").alias("events"))
+    last = F.when(F.col("low") == F.col("high"), 1).otherwise(bins)
+    every = bounds.where("low IS NOT NULL").select("low", "high", F.explode(F.sequence(F.lit(1), last)).alias("bin"))
     width = (F.col("high") - F.col("low")) / bins
-    return (
-        bounded.select(F.least(raw_bin, F.lit(bins)).cast("int").alias("bin"), "low", "high")
-        .groupBy("bin", "low", "high")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(
-            "bin",
-            (F.col("low") + (F.col("bin") - 1) * width).alias("bin_low"),
-            (F.col("low") + F.col("bin") * width).alias("bin_high"),
-            "events",
-        )
+    return every.join(filled, "bin", "left").select(
+        "bin",
+        (F.col("low") + (F.col("bin") - 1) * width).alias("bin_low"),
+        (F.col("low") + F.col("bin") * width).alias("bin_high"),
+        F.coalesce("events", F.lit(0)).alias("events"),
     )

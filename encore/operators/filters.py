@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from encore.functions.money import is_priced
 from encore.functions.text import same_name
 
 
@@ -30,7 +31,7 @@ def at_most(df: DataFrame, col: str, bound: float) -> DataFrame:
 
 def priced_rows(df: DataFrame, price: str = "price_avg") -> DataFrame:
     """Rows with a known, positive price."""
-    return df.where(F.col(price).isNotNull() & (F.col(price) > 0))
+    return df.where(F.col(price).isNotNull() & is_priced(price))
 
 
 def selected(df: DataFrame, col: str, value=None) -> DataFrame:

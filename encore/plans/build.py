@@ -1,8 +1,8 @@
 """The whole build: raw tables -> staging -> star schema, and its quality report.
 
-Staging events feed all four marts, so they are written once to the shared folder;
-the other staging models are views. Marts are written as tables, dimensions first,
-so that Spark plans the fact's joins from their real sizes.
+All models are written as tables of the shared folder: staging events feed all four marts, the other
+staging models feed many reports and the checks, and none is evaluated twice. Dimensions are written before
+the fact, so that Spark plans its joins from their real sizes.
 """
 
 from __future__ import annotations
@@ -47,13 +47,9 @@ class Models:
     fact_events: DataFrame
 
     @classmethod
-    def read(cls, spark: SparkSession, location: str, raw: dict[str, DataFrame]) -> "Models":
-        """The models of an earlier build: its tables, and the staging views over the raw tables."""
-        small = staged(raw)
-        stored = {
-            f.name: spark.read.parquet(f"{location}/{f.name}") for f in fields(cls) if f.name not in small
-        }
-        return cls(**stored, **small)
+    def read(cls, spark: SparkSession, location: str) -> "Models":
+        """The models of an earlier build."""
+        return cls(**{f.name: spark.read.parquet(f"{location}/{f.name}") for f in fields(cls)})
 
     def star(self, places: DataFrame | None = None, unique_events: bool = False) -> Star:
         """The star for the reports; with ``places`` the venues carry coordinates."""
@@ -75,16 +71,21 @@ class Models:
         return report
 
 
-def staged(raw: dict[str, DataFrame], tiebreaks: dict[str, list] | None = None) -> dict[str, DataFrame]:
-    """The staging models that stay views."""
+def staged(
+    raw: dict[str, DataFrame], tiebreaks: dict[str, list] | None = None, lenient: bool = False
+) -> dict[str, DataFrame]:
+    """The staging models; ``lenient`` makes values that cannot be read NULL instead of failing the run."""
     ties = tiebreaks or {}
+
+    def latest(model, table: str) -> DataFrame:
+        return model(raw[table], ties.get(table), lenient)
+
     return {
-        "stg_spotify_artists": staging.stg_spotify_artists(raw["raw_spotify_artists"], ties.get("raw_spotify_artists")),
-        "stg_seatgeek_performers": staging.stg_seatgeek_performers(
-            raw["raw_seatgeek_performers"], ties.get("raw_seatgeek_performers")
-        ),
-        "stg_seatgeek_events": staging.stg_seatgeek_events(raw["raw_seatgeek_events"], ties.get("raw_seatgeek_events")),
-        "stg_tour_revenue": staging.stg_tour_revenue(raw["raw_tour_revenue"]),
+        "stg_ticketmaster_events": latest(staging.stg_ticketmaster_events, "raw_ticketmaster_events"),
+        "stg_spotify_artists": latest(staging.stg_spotify_artists, "raw_spotify_artists"),
+        "stg_seatgeek_performers": latest(staging.stg_seatgeek_performers, "raw_seatgeek_performers"),
+        "stg_seatgeek_events": latest(staging.stg_seatgeek_events, "raw_seatgeek_events"),
+        "stg_tour_revenue": staging.stg_tour_revenue(raw["raw_tour_revenue"], lenient),
     }
 
 
@@ -94,22 +95,19 @@ def build(
     strict: bool = False,
     tiebreaks: dict[str, list] | None = None,
     partition_fact_by: Sequence[str] = (),
+    lenient: bool = False,
 ) -> Models:
     """Build all models; tables go below ``location``, a folder that all executors share.
 
     Partition the fact, for instance by ``event_date``, where its volume justifies it.
     """
-    ties = tiebreaks or {}
-    events = materialise(
-        staging.stg_ticketmaster_events(raw["raw_ticketmaster_events"], ties.get("raw_ticketmaster_events")),
-        f"{location}/stg_ticketmaster_events",
-    )
-    small = staged(raw, ties)
+    small = {name: materialise(df, f"{location}/{name}") for name, df in staged(raw, tiebreaks, lenient).items()}
+    events = small["stg_ticketmaster_events"]
     listeners, performers = small["stg_spotify_artists"], small["stg_seatgeek_performers"]
     artists = materialise(marts.dim_artists(events, listeners, performers, strict), f"{location}/dim_artists")
     venues = materialise(marts.dim_venues(events, strict), f"{location}/dim_venues")
     dates = materialise(marts.dim_dates(events), f"{location}/dim_dates")
     fact = materialise(marts.fact_events(events, artists, venues, dates), f"{location}/fact_events", partition_fact_by)
     return Models(
-        stg_ticketmaster_events=events, dim_artists=artists, dim_venues=venues, dim_dates=dates, fact_events=fact, **small
+        dim_artists=artists, dim_venues=venues, dim_dates=dates, fact_events=fact, **small
     )

@@ -13,7 +13,6 @@ from encore.functions import report_text as text
 from encore.functions.calendar import DAYS, MONTHS, long_weekend_label
 from encore.functions.money import (
     conversion_rate,
-    priced,
     revenue_multiplier,
     revenue_ratio,
     streaming_estimate,
@@ -22,6 +21,7 @@ from encore.functions.text import venue_label
 from encore.operators.aggregates import (
     count_text_by,
     histogram,
+    mean,
     union_distinct,
 )
 from encore.operators.filters import at_most, known, priced_rows, selected, selected_name
@@ -30,7 +30,7 @@ from encore.operators.latest import top_per_group
 from encore.operators.ranking import best, by_ordinal, top_k
 from encore.operators.scaffold import fill_days
 
-from .star import Star
+from .star import MEASURES, Star
 
 
 def _mean_price() -> Column:
@@ -80,11 +80,12 @@ def overview(star: Star) -> DataFrame:
     """
     artist, venue = star.artists, star.venues
     level = F.grouping_id()
-    cells = star.fact.groupingSets([[artist.key], [venue.key], []], artist.key, venue.key).agg(
+    # names are told apart only, so no dimension is joined row by row: all of them weigh the rows
+    fact, weight = star.weighted()
+    measures = [m for m, name in zip(star.measures(weight), MEASURES) if name != "event_rows"]
+    cells = fact.groupingSets([[artist.key], [venue.key], []], artist.key, venue.key).agg(
         F.when(level == 1, "artist").when(level == 2, "venue").otherwise("total").alias("kind"),
-        F.count("event_id").alias("events"),
-        F.sum(priced("price_avg")).alias("price_sum"),
-        F.count(priced("price_avg")).alias("price_n"),
+        *measures,
     )
     cells = cells.withColumn("key", F.coalesce(F.col(artist.key).cast("string"), F.col(venue.key).cast("string")))
     names = artist.frame.select(
@@ -106,8 +107,7 @@ def overview(star: Star) -> DataFrame:
     if star.unique_events:
         return kpis.select("events", "artists", "venues", _mean_price().alias("avg_price"))
     events = star.fact.agg(star.events_counted().alias("n")).scalar()
-    mean = star.frame().agg(F.avg(priced("price_avg")).alias("mean")).scalar()
-    return kpis.select(events.alias("events"), "artists", "venues", mean.alias("avg_price"))
+    return kpis.select(events.alias("events"), "artists", "venues", _mean_price().alias("avg_price"))
 
 
 def top_by(star: Star, attribute: str, k: int = 10) -> DataFrame:
@@ -172,8 +172,9 @@ def conversion_kpis(compared: DataFrame) -> DataFrame:
     return compared.agg(
         best("artist_name", "revenue_multiplier", "artist_name").alias("top_artist"),
         F.max("revenue_multiplier").alias("top_multiplier"),
-        F.avg("conversion_rate").alias("avg_conversion_rate"),
-        (F.sum("gross_revenue") - F.sum("est_annual_streaming")).alias("total_gap"),
+        mean(F.col("conversion_rate").cast("decimal(18,1)")).alias("avg_conversion_rate"),
+        (F.sum(F.col("gross_revenue").cast("decimal(28,2)")) - F.sum(F.col("est_annual_streaming").cast("decimal(28,2)")))
+        .cast("double").alias("total_gap"),
     )
 
 
@@ -228,6 +229,7 @@ def artist_profiles(
     Events match the exact name, the other tables ignore case. The genre is the most
     frequent one of the events, else the market's, else a dash.
     """
+    star = star.chosen("artist_name", artist)
     cells = selected(star.rollup("artist_name", "genre", keep_null=True), "artist_name", artist)
     by_use = F.when(F.col("genre").isNotNull(), F.struct(-F.col("event_rows"), F.col("genre")))
     stats = known(cells, "artist_name").groupBy("artist_name").agg(
@@ -299,9 +301,18 @@ def frequent_artists(raw_events: DataFrame, n: int = 50) -> DataFrame:
     return top_k(count_text_by(raw_events, "artist_name"), "events", n, ["artist_name"])
 
 
-def artists_to_find(raw_events: DataFrame, curated: DataFrame, n: int = 50) -> DataFrame:
-    """Frequent artists that the curated list lacks."""
-    return without_names(frequent_artists(raw_events, n), curated, "artist_name")
+def artists_to_find(
+    raw_events: DataFrame, curated: DataFrame, n: int | None = None, cut_first: bool = False
+) -> DataFrame:
+    """Artists of the events that the curated list lacks, with their number of snapshots.
+
+    All of them, or the ``n`` most frequent; with ``cut_first`` those of the ``n`` most frequent
+    of all artists that are not curated.
+    """
+    if cut_first and n is not None:
+        return without_names(frequent_artists(raw_events, n), curated, "artist_name")
+    found = without_names(count_text_by(raw_events, "artist_name"), curated, "artist_name")
+    return found if n is None else top_k(found, "events", n, ["artist_name"])
 
 
 # Venues and markets -----------------------------------------------------------------------
@@ -322,6 +333,7 @@ def top_venues(star: Star, k: int = 15) -> DataFrame:
 
 def market_kpis(star: Star, state: str | None = None) -> DataFrame:
     """Events, venues, artists and mean price per state."""
+    star = star.chosen("state", state)
     cells = star.cells("state", "venue_name", "artist_name")
     cells = selected(known(cells, "state"), "state", state)
     rest = cells.groupBy("state").agg(
@@ -339,7 +351,7 @@ def market_kpis(star: Star, state: str | None = None) -> DataFrame:
 
 def market_genres(star: Star, k: int = 8, state: str | None = None) -> DataFrame:
     """The k genres with most events per state."""
-    counts = star.rollup("state", "genre").select("state", "genre", F.col("event_rows").alias("events"))
+    counts = star.chosen("state", state).rollup("state", "genre").select("state", "genre", F.col("event_rows").alias("events"))
     order = [F.col("events").desc(), F.col("genre").asc()]
     return top_per_group(selected(counts, "state", state), ["state"], order, k)
 
@@ -348,7 +360,7 @@ def market_artists(
     star: Star, listeners: DataFrame, k: int = 10, state: str | None = None
 ) -> DataFrame:
     """The k artists with most events per state and their audience."""
-    counts = star.rollup("state", "artist_name").select("state", "artist_name", "events")
+    counts = star.chosen("state", state).rollup("state", "artist_name").select("state", "artist_name", "events")
     order = [F.col("events").desc(), F.col("artist_name").asc()]
     top = top_per_group(selected(counts, "state", state), ["state"], order, k)
     return top.join(listeners, "artist_name", "left").select("state", "artist_name", "events", "monthly_listeners")
@@ -375,7 +387,7 @@ def by_month(star: Star) -> DataFrame:
 
 def genre_weekdays(star: Star, genre: str | None = None) -> DataFrame:
     """Events per weekday of a genre, or of every genre, with all seven days present."""
-    counts = star.rollup("genre", "day_name").select("genre", "day_name", F.col("event_rows").alias("events"))
+    counts = star.chosen("genre", genre).rollup("genre", "day_name").select("genre", "day_name", F.col("event_rows").alias("events"))
     if genre is None:
         return fill_days(counts, by=["genre"])
     return by_ordinal(fill_days(selected(counts, "genre", genre)), "day_name", DAYS)

@@ -62,6 +62,8 @@ def stg_spotify_artists(
     raw: DataFrame, tiebreak: Tiebreak = None, lenient: bool = False, breaks: str = WORD_BREAKS
 ) -> DataFrame:
     """One cleaned row per artist name as scraped (names may meet after cleaning)."""
+    if tiebreak is None:  # only columns the model keeps: the page text is not read
+        tiebreak = ["artist_id", "spotify_url", "monthly_listeners", "page_title", "page_description"]
     latest = latest_per_key(raw, ["artist_name"], tiebreak=tiebreak)
     return latest.select(
         _cast("artist_id", "string", False),

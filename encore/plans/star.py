@@ -5,16 +5,17 @@ its dimensions first would move all events once per dimension too large to
 broadcast, and a popular artist would make a skewed join. Instead ``rollup``
 first aggregates the fact on the dimension keys, which needs no more than the key
 columns and is combined map-side, and joins one row per key. A dimension key that
-repeats still multiplies the counts exactly as the row-wise join does.
+repeats still multiplies the counts exactly as the row-wise join does: keys of asked
+dimensions in the join, keys of the others as weights of the fact's rows.
 
-With ``unique_events`` only the dimensions a report asks for are touched.
+Only the dimensions a report asks for are joined.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from encore.functions.calendar import weekend_label
 from encore.functions.money import priced
@@ -22,15 +23,33 @@ from encore.operators.filters import known
 from encore.operators.joins import attach
 
 
+#: Repeating keys of a dimension that are broadcast, at most; more are joined by a shuffle.
+BROADCAST_KEYS = 100_000
+
 MEASURES = ["events", "event_rows", "price_sum", "price_n"]
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension table and the column that the fact refers to it by."""
+    """A dimension table and the column that the fact refers to it by.
+
+    ``derived`` names attributes that are functions of the key, as those of a date are: they are computed on the
+    groups and the table is not read for them.
+    """
 
     frame: DataFrame
     key: str
+    derived: dict[str, Column] = field(default_factory=dict)
+
+    def repeats(self) -> tuple[DataFrame, int]:
+        """(key, times) of the keys that repeat, and how many there are; looked up once."""
+        if self.key not in self._repeats:
+            found = self.frame.groupBy(self.key).agg(F.count(F.lit(1)).alias("times")).where(
+                F.col("times") > 1).where(F.col(self.key).isNotNull())
+            self._repeats[self.key] = (found, found.limit(BROADCAST_KEYS + 1).count())
+        return self._repeats[self.key]
+
+    _repeats: dict = field(default_factory=dict, compare=False, repr=False)
 
 
 @dataclass(frozen=True)
@@ -55,7 +74,7 @@ class Star:
         """Which dimension supplies which of the attributes."""
         supply = []
         for dim in (self.artists, self.venues, self.dates):
-            own = [a for a in attributes if a in dim.frame.columns]
+            own = [a for a in attributes if a in dim.derived or a in dim.frame.columns]
             if own:
                 supply.append((dim, own))
         missing = set(attributes) - {a for _, own in supply for a in own}
@@ -79,27 +98,64 @@ class Star:
         ]
         return wide.select(*columns, weekend_label("is_weekend").alias("is_weekend"))
 
+    def chosen(self, attribute: str, value=None) -> "Star":
+        """The star of the events with a value of an attribute: the dimension is reduced first
+        and the fact's rows are chosen by its keys, below all grouping. No value means the whole star."""
+        if value is None:
+            return self
+        [(dim, _)] = self.dimensions_of(attribute)
+        frame = dim.frame.where(F.col(attribute) == F.lit(value))
+        fact = self.fact.join(frame.select(dim.key).distinct(), dim.key, "left_semi")
+        name = next(n for n in ("artists", "venues", "dates") if getattr(self, n) is dim)
+        return replace(self, fact=fact, **{name: Dimension(frame, dim.key)})
+
+    def weighted(self, *asked: Dimension) -> tuple[DataFrame, Column | None]:
+        """The fact and how often the dimensions that are not asked for repeat each row; None for once."""
+        fact, weight = self.fact, None
+        for i, dim in enumerate((self.artists, self.venues, self.dates)):
+            if self.unique_events or any(dim is d for d in asked):
+                continue
+            repeats, n = dim.repeats()
+            if n == 0:
+                continue
+            times = repeats.select(F.col(dim.key).alias("__key"), F.col("times").alias(f"__times{i}"))
+            small = F.broadcast(times) if n <= BROADCAST_KEYS else times
+            fact = fact.join(small, fact[dim.key] == small["__key"], "left").drop("__key")
+            own = F.coalesce(f"__times{i}", F.lit(1))
+            weight = own if weight is None else weight * own
+        return fact, weight
+
+    def measures(self, weight: Column | None) -> list[Column]:
+        """Aggregates of the fact's rows, each counting ``weight`` times."""
+        price = priced("price_avg")
+        if weight is None:
+            return [
+                F.count("event_id").alias("events"), F.count(F.lit(1)).alias("event_rows"),
+                F.sum(price).alias("price_sum"), F.count(price).alias("price_n"),
+            ]
+        return [
+            F.coalesce(F.sum(F.when(F.col("event_id").isNotNull(), weight)), F.lit(0)).alias("events"),
+            F.sum(weight).alias("event_rows"),
+            F.sum(price * weight.cast("int")).alias("price_sum"),
+            F.coalesce(F.sum(F.when(price.isNotNull(), weight)), F.lit(0)).alias("price_n"),
+        ]
+
     def cells(self, *attributes: str) -> DataFrame:
-        """Events per combination of dimension keys, with the attributes joined to it.
+        """Events per combination of the keys of the asked dimensions, with the attributes joined to it.
 
         Measures: ``events`` (known ids), ``event_rows``, ``price_sum`` and ``price_n``
         (positive prices); those not used are pruned. Combinations of attributes may
-        repeat, so sums and distinct counts over cells equal those over events. Unless
-        keys are known to be unique, the other dimensions are joined too, since a key
-        that repeats there multiplies the rows of every analysis.
+        repeat, so sums and distinct counts over cells equal those over events. A key that repeats in another
+        dimension multiplies the rows of every analysis: it weighs the fact's rows.
         """
         supply = self.dimensions_of(*attributes)
-        if not self.unique_events:
-            asked = [d for d, _ in supply]
-            supply += [(d, []) for d in (self.artists, self.venues, self.dates) if d not in asked]
-        cells = self.fact.groupBy(*[d.key for d, _ in supply]).agg(
-            F.count("event_id").alias("events"),
-            F.count(F.lit(1)).alias("event_rows"),
-            F.sum(priced("price_avg")).alias("price_sum"),
-            F.count(priced("price_avg")).alias("price_n"),
-        )
+        fact, weight = self.weighted(*[d for d, _ in supply])
+        cells = fact.groupBy(*[d.key for d, _ in supply]).agg(*self.measures(weight))
         for dim, own in supply:
-            cells = attach(cells, dim.frame, {dim.key: dim.key}, own)
+            if set(own) <= set(dim.derived):
+                cells = cells.withColumns({a: dim.derived[a] for a in own})
+            else:
+                cells = attach(cells, dim.frame, {dim.key: dim.key}, own)
         return cells.select(*attributes, *MEASURES)
 
     def rollup(self, *attributes: str, keep_null: bool = False) -> DataFrame:

@@ -12,15 +12,27 @@ from encore.functions.nested import first_of, first_where, joined_names
 from encore.functions.parse import monthly_listeners
 from encore.functions.text import date_part, empty_to_null, last_segment, time_part
 
-# Fixed value: how much page text is kept in the raw table.
-MARKDOWN_CHARS = 5000
-
-
 def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON-lines files read with a declared schema."""
     return spark.read.schema(schema).json(path)
 
 
+#: Where a document stands in its feed, in order.
+POSITION = ["landed_file", "landed_block", "landed_row"]
+
+
+def in_landed_order(docs: DataFrame) -> DataFrame:
+    """Landed documents with their position: file, block of the file, row of the block.
+
+    A block is read from top to bottom by one task, so the growing number orders its rows.
+    """
+    return docs.withColumns({
+        "landed_file": F.col("_metadata.file_path"),
+        "landed_block": F.col("_metadata.file_block_start"),
+        "landed_row": F.monotonically_increasing_id(),
+    })
+
+
 def parse_landed(df: DataFrame, text: str, schema: str) -> DataFrame:
     """Documents held as text in a column; other columns are kept."""
     others = [c for c in df.columns if c != text]
@@ -108,8 +120,13 @@ def flatten_listings(docs: DataFrame, loaded_at: Column | None = None) -> DataFr
     )
 
 
-def parse_pages(pages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Scraped pages -> rows of raw_spotify_artists. The phrase is searched in the whole text."""
+def parse_pages(pages: DataFrame, loaded_at: Column | None = None, keep_chars: int | None = None) -> DataFrame:
+    """Scraped pages -> rows of raw_spotify_artists. The phrase is searched in the whole text.
+
+    The whole text is kept, or its first ``keep_chars`` characters where a table is to hold no more.
+    """
+    kept = F.col("markdown") if keep_chars is None else F.substring("markdown", 1, keep_chars)
+
     def meta(key):
         return F.try_element_at("metadata", F.lit(key))
 
@@ -120,7 +137,7 @@ def parse_pages(pages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
         monthly_listeners("markdown").alias("monthly_listeners"),
         F.coalesce(empty_to_null("title"), meta("title"), F.lit("")).alias("page_title"),
         F.coalesce(meta("description"), F.lit("")).alias("page_description"),
-        empty_to_null(F.substring("markdown", 1, MARKDOWN_CHARS)).alias("raw_markdown"),
+        empty_to_null(kept).alias("raw_markdown"),
         F.when(F.size("metadata") > 0, F.to_json("metadata")).alias("raw_metadata"),
         _stamp(loaded_at),
     )

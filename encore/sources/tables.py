@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -29,7 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="encore-")
+        _local_folders[context.applicationId] = folder = tempfile.mkdtemp(prefix="encore-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _local_folders[context.applicationId]
 
 

@@ -54,7 +54,7 @@ def test_build_check_and_reports(spark, raw, tmp_path):
     tables = jobs.raw_tables(spark, raw)
     built = build(tables, str(tmp_path / "marts"), strict=True, partition_fact_by=["event_date"])
     assert built.fact_events.count() == 3
-    models = Models.read(spark, str(tmp_path / "marts"), tables)
+    models = Models.read(spark, str(tmp_path / "marts"))
     assert {r.check_name for r in jobs.check(models).collect()} == {"unique", "not_null"}
     got = jobs.analyses(spark, models, unique_events=True)
     assert tuple(got["overview"].collect()[0])[:3] == (3, 2, 2)

@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from encore.plans import reports
 from encore.plans.build import CHECKS, Models, build
+from encore.plans.star import Star
 from encore.sources.tables import new_location
 
 from . import roles
 from .registry import query
 
 
+_builds: dict[tuple[str, str], Models] = {}
+
+
 def built_models(t) -> Models:
-    """The whole build, its tables written to a new place in the shared folder."""
-    return build(roles.raw(t), new_location(t.spark, "marts"), tiebreaks=roles.RAW_TIES)
+    """The whole build, written once for each session and folder to a new place in the shared folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _builds:
+        _builds[key] = build(roles.raw(t), new_location(t.spark, "marts"), tiebreaks=roles.RAW_TIES)
+    return _builds[key]
+
+
+def marts_star(t, with_places: bool = False) -> Star:
+    """The star of the built marts, whose events and dimension keys may repeat."""
+    return built_models(t).star(roles.places(t) if with_places else None)
+
+
+def marts_listeners(t):
+    return reports.listeners_view(built_models(t).stg_spotify_artists)
+
+
+def on_marts(statement: str) -> str:
+    """The oracle of a report over the rows of the built marts instead of those of the natural keys."""
+    return re.sub(r"\bframe\b", "mart_frame", statement)
 
 
 # Mean positive price from exact decimal sums, so that both engines divide the same numbers.
@@ -151,13 +174,18 @@ def price_by_genre(t):
     return reports.price_by_genre(roles.star(t))
 
 
-@query("q9_price_histogram", """
-  select cast(least(floor(20 * (price_avg - lo) / (hi - lo)) + 1, 20) as integer) as bin,
-    any_value(lo + (least(floor(20 * (price_avg - lo) / (hi - lo)) + 1, 20) - 1) * ((hi - lo) / 20)) as bin_low,
-    any_value(lo + least(floor(20 * (price_avg - lo) / (hi - lo)) + 1, 20) * ((hi - lo) / 20)) as bin_high,
-    count(*) as events
-  from frame, (select min(price_avg) as lo, max(price_avg) as hi from frame where price_avg > 0)
-  where price_avg > 0 group by 1""")
+def _histogram(value: str, source: str, columns: str = "bin, bin_low, bin_high, events") -> str:
+    """All twenty bins of a column, empty ones included."""
+    return f"""
+      select {columns} from (select cast(i as integer) as bin, lo + (i - 1) * ((hi - lo) / 20) as bin_low,
+          lo + i * ((hi - lo) / 20) as bin_high, coalesce(n, 0) as events
+        from (select min({value}) as lo, max({value}) as hi from {source} where {value} > 0), unnest(generate_series(1, 20)) as g(i)
+        left join (select least(floor(20 * ({value} - l) / (h - l)) + 1, 20) as k, count(*) as n
+          from {source}, (select min({value}) as l, max({value}) as h from {source} where {value} > 0)
+          where {value} > 0 group by 1) on k = i)"""
+
+
+@query("q9_price_histogram", _histogram("price_avg", "frame"))
 def price_histogram(t):
     fact = roles.star(t, with_artists=False).fact
     return reports.price_distribution(fact)
@@ -302,8 +330,9 @@ def frequent_artists(t):
     return reports.frequent_artists(roles.raw_artist_names(t))
 
 
-@query("q22_artists_to_find", f"""
-  select * from ({FREQUENT}) where lower(artist_name) not in (select lower(artist_name) from raw_listeners)""")
+@query("q22_artists_to_find", """
+  select artist_name, count(*) as events from raw_events where artist_name is not null and artist_name <> '' group by artist_name
+  having lower(artist_name) not in (select lower(artist_name) from raw_listeners)""")
 def artists_to_find(t):
     return reports.artists_to_find(roles.raw_artist_names(t), roles.raw_listeners(t))
 
@@ -334,3 +363,125 @@ CHECKED = {
        + " union all ".join(_checks(table, cte) for table, cte in CHECKED.items()) + ")")
 def quality_report(t):
     return built_models(t).quality_report()
+
+
+# The reports on the built marts, where events and dimension keys repeat ---------------------
+
+
+def _on_marts(name: str, of: str):
+    """Register a report on the marts under the oracle of the report on the natural keys."""
+    return query(name, on_marts(_STATEMENTS[of]))
+
+
+_STATEMENTS = {
+    "overview": f"""
+      select count(distinct event_id) as events, count(distinct artist_name) as artists, count(distinct venue_name) as venues,
+        {MEAN} as avg_price from frame""",
+    "genres": _top("genre", 10),
+    "artists": _top("artist_name", 10),
+    "venue_names": _top("venue_name", 10),
+    "states": _top("state", 15),
+    "prices": f"select genre, {MEAN} as avg_price from frame where price_avg > 0 and genre is not null group by genre",
+    "markets": f"""
+      select state, count(distinct event_id) as events, count(distinct venue_name) as venues, count(distinct artist_name) as artists,
+        {MEAN} as avg_price from frame where state is not null group by state""",
+    "one_market": f"""
+      select state, count(distinct event_id) as events, count(distinct venue_name) as venues, count(distinct artist_name) as artists,
+        {MEAN} as avg_price from frame where state = (select min(state) from frame) group by state""",
+    "market_genres": """
+      select state, genre, events from (select state, genre, count(*) as events,
+          row_number() over (partition by state order by count(*) desc, genre) as rn
+        from frame where state is not null and genre is not null group by state, genre) where rn <= 8""",
+    "venues": """
+      select venue_name, city, state, count(event_id) as events, venue_name || ' (' || state || ')' as label from frame
+      where venue_name is not null and city is not null and state is not null group by venue_name, city, state
+      order by events desc, venue_name, city, state limit 15""",
+    "weekdays": """
+      select day_name, count(*) as events,
+        case when day_name in ('Friday', 'Saturday', 'Sunday') then 'Weekend' else 'Weekday' end as label
+      from frame where day_name is not null group by day_name""",
+    "months": "select month_name, count(*) as events from frame where month_name is not null group by month_name",
+    "genre_weekdays": """
+      select genre, d.day_name, count(f.event_id) as events
+      from (select g.genre, days.day_name from (select distinct genre from frame where genre is not null) g cross join days) d
+      left join (select genre as g, day_name, event_id from frame) f on d.genre = f.g and d.day_name = f.day_name
+      group by genre, d.day_name""",
+    "audience": AUDIENCE,
+    "known": "select artist_name from frame where artist_name is not null union select artist_name from listeners",
+}
+
+
+@_on_marts("q2_overview_marts", "overview")
+def overview_marts(t):
+    return reports.overview(marts_star(t))
+
+
+@_on_marts("q3_top_genres_marts", "genres")
+def top_genres_marts(t):
+    return reports.top_by(marts_star(t), "genre")
+
+
+@_on_marts("q3_top_artists_marts", "artists")
+def top_artists_marts(t):
+    return reports.top_by(marts_star(t), "artist_name")
+
+
+@_on_marts("q3_top_venues_marts", "venue_names")
+def top_venue_names_marts(t):
+    return reports.top_by(marts_star(t), "venue_name")
+
+
+@_on_marts("q8_price_by_genre_marts", "prices")
+def price_by_genre_marts(t):
+    return reports.price_by_genre(marts_star(t))
+
+
+@_on_marts("q12_audience_and_events_marts", "audience")
+def audience_marts(t):
+    return reports.audience_and_events(marts_star(t), marts_listeners(t))
+
+
+@_on_marts("q15_top_states_marts", "states")
+def top_states_marts(t):
+    return reports.top_by(marts_star(t), "state", 15)
+
+
+@_on_marts("q16_top_venues_marts", "venues")
+def top_venues_marts(t):
+    return reports.top_venues(marts_star(t))
+
+
+@_on_marts("q17_market_kpis_marts", "markets")
+def market_kpis_marts(t):
+    return reports.market_kpis(marts_star(t))
+
+
+@_on_marts("q17_one_market_marts", "one_market")
+def one_market_marts(t):
+    star = marts_star(t)
+    return reports.market_kpis(star, star.venues.frame.agg(F.min("state")).first()[0])
+
+
+@_on_marts("q17_market_genres_marts", "market_genres")
+def market_genres_marts(t):
+    return reports.market_genres(marts_star(t))
+
+
+@_on_marts("q18_events_by_weekday_marts", "weekdays")
+def weekdays_marts(t):
+    return reports.by_weekday(marts_star(t))
+
+
+@_on_marts("q19_events_by_month_marts", "months")
+def months_marts(t):
+    return reports.by_month(marts_star(t))
+
+
+@_on_marts("q20_genre_weekdays_marts", "genre_weekdays")
+def genre_weekdays_marts(t):
+    return reports.genre_weekdays(marts_star(t))
+
+
+@_on_marts("q21_known_artists_marts", "known")
+def known_artists_marts(t):
+    return reports.known_artists(marts_star(t), marts_listeners(t))

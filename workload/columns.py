@@ -132,7 +132,7 @@ def prefix(t):
   select page_id, case when page_id > 9 then page_id * 1037 end as listeners from pages""")
 def listener_count(t):
     return page_documents(t).select(
-        F.substring_index("artist_name", " ", -1).cast("bigint").alias("page_id"), parse.monthly_listeners("markdown").alias("listeners")
+        F.substring_index("artist_name", " ", -1).cast("bigint").alias("page_id"), parse.monthly_listeners("markdown").cast("bigint").alias("listeners")
     )
 
 

@@ -178,11 +178,12 @@ def page_documents(t):
     coalesce(nullif(case when page_id > 20 then regexp_extract(html, '<title>(.*?)</title>', 1) end, ''),
       case when page_id > 4 then 'Page ' || page_id end, '') as page_title,
     case when page_id > 4 then 'about an act' else '' end as page_description,
-    substr(case when page_id > 9 then format('{:,}', page_id * 1037) || ' Monthly' || chr(10) || ' Listeners ' else '' end || html, 1, 5000) as raw_markdown,
+    case when page_id > 9 then format('{:,}', page_id * 1037) || ' Monthly' || chr(10) || ' Listeners ' else '' end || html as raw_markdown,
     case when page_id > 4 then '{"title":"Page ' || page_id || '","description":"about an act"}' end as raw_metadata
   from pages""")
 def parse_pages(t):
-    return landed.parse_pages(page_documents(t)).drop("loaded_at")
+    pages = landed.parse_pages(page_documents(t)).drop("loaded_at")
+    return pages.withColumn("monthly_listeners", F.col("monthly_listeners").cast("bigint"))
 
 
 # Sinks ------------------------------------------------------------------------------------

@@ -170,6 +170,10 @@ CTES = {
       from stg_events e left join (select tm_artist_id, artist_key from dim_artists) a on e.artist_id = a.tm_artist_id
       left join (select venue_id, venue_key from dim_venues) v on e.venue_id = v.venue_id
       left join (select event_date, date_key from dim_dates) d on e.event_date = d.event_date""",
+    "mart_frame": """
+      select event_id, f.event_date, price_min, price_max, price_avg, artist_name, genre, venue_name, city, state, day_name, month_name
+      from fact f left join dim_artists a on f.artist_key = a.artist_key left join dim_venues v on f.venue_key = v.venue_key
+      left join dim_dates d on f.date_key = d.date_key""",
     # The star of the reports, by natural keys
     "latest": """
       select * from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc nulls first,

@@ -254,10 +254,11 @@ def most_frequent(t):
 
 
 @query("ag10_histogram", """
-  select cast(least(floor(20 * (p_retailprice - lo) / (hi - lo)) + 1, 20) as integer) as bin, count(*) as events
-  from part cross join (select min(p_retailprice) as lo, max(p_retailprice) as hi from part) group by 1""")
+  select cast(i as integer) as bin, coalesce(n, 0) as events from unnest(generate_series(1, 20)) as g(i)
+  left join (select least(floor(20 * (s_acctbal - lo) / (hi - lo)) + 1, 20) as k, count(*) as n
+    from supplier cross join (select min(s_acctbal) as lo, max(s_acctbal) as hi from supplier) group by 1) on k = i""")
 def histogram(t):
-    return aggregates.histogram(t.part, "p_retailprice").select("bin", "events")
+    return aggregates.histogram(t.supplier, "s_acctbal").select("bin", "events")
 
 
 @query("ag11_distinct_rows", "select distinct s_nationkey, n_name, r_name from lines where s_nationkey is not null")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from encore.functions import calendar
 from encore.functions.money import midpoint
 from encore.functions.text import clean_name
 from encore.operators.latest import latest_per_key
@@ -332,7 +333,8 @@ def star(t: Tables, with_artists: bool = True, with_places: bool = False) -> Sta
         fact,
         Dimension(artists(t), "artist_key"),
         Dimension(halls, "venue_key"),
-        Dimension(dates(t), "event_date"),
+        Dimension(dates(t), "event_date", {
+            "day_name": calendar.day_name("event_date"), "month_name": calendar.month_name("event_date")}),
         unique_events=True,
     )
 
