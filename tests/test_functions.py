@@ -67,6 +67,7 @@ def test_page_text(spark):
     assert one(spark, parse.monthly_listeners("c"), c="nothing") is None
     assert one(spark, parse.monthly_listeners("c"), c=",, monthly listeners") is None
     assert one(spark, parse.monthly_listeners("c"), c=None) is None
+    assert one(spark, parse.monthly_listeners("c"), c="9" * 30 + " monthly listeners") == 10**30 - 1
     far = "x" * 20000 + " 7 monthly listeners"
     assert one(spark, parse.monthly_listeners("c"), c=far) == 7
     link = "a https://open.spotify.com/artist/4YPq?si=1 https://open.spotify.com/artist/zz"

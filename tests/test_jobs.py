@@ -6,6 +6,7 @@ import pytest
 
 from encore import jobs
 from encore.plans.build import Models, build
+from encore.sources.tables import scan
 
 
 def land(folder, name, documents):
@@ -80,3 +81,45 @@ def test_declare(spark, raw):
     jobs.declare(spark, raw)
     jobs.declare(spark, raw)
     assert spark.table("raw_tour_revenue").count() == 20
+
+
+def raw_table(spark, folder, name):
+    return scan(spark, str(folder / "raw" / name), jobs.schemas.RAW_TABLES[name])
+
+
+def test_first_document_of_a_file_wins(spark, tmp_path):
+    folder = land(tmp_path / "landed", "1", [event(7, "First"), event(7, "Second"), event(8, "Z"), event(8, "A")])
+    jobs.ingest(spark, "events", [folder], str(tmp_path / "raw"))
+    found = raw_table(spark, tmp_path, "raw_ticketmaster_events").collect()
+    assert {r.event_id: r.artist_name for r in found} == {"e7": "First", "e8": "Z"}
+
+
+def test_whole_page_texts_are_kept(spark, tmp_path):
+    text = "1,000 monthly listeners " + "x" * 20_000
+    page = {"artist_name": "Drake", "url": "https://x/artist/d1", "markdown": text, "metadata": {}}
+    jobs.ingest(spark, "pages", [land(tmp_path / "landed", "1", [page])], str(tmp_path / "raw"))
+    [row] = raw_table(spark, tmp_path, "raw_spotify_artists").collect()
+    assert (row.raw_markdown, row.monthly_listeners) == (text, 1000)
+
+
+def test_page_text_is_not_read_by_the_model(spark, raw):
+    from encore.plans import staging
+
+    model = staging.stg_spotify_artists(jobs.raw_tables(spark, raw)["raw_spotify_artists"])
+    plan = model._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    assert "page_title" in plan and "raw_markdown" not in plan
+
+
+def test_pages_to_read(spark, raw):
+    pages = jobs.pages_to_read(spark, jobs.raw_tables(spark, raw))
+    names = [r.artist_name for r in pages.collect()]
+    assert names.count("Unknown Act") == 1 and names.count("Drake") == 1 and len(names) > 3
+
+
+def test_unreadable_dates_can_be_let_through(spark, tmp_path):
+    folder = land(tmp_path / "landed", "1", [event(1, "A", day="soon")])
+    jobs.ingest(spark, "events", [folder], str(tmp_path / "raw"))
+    rest = {n: spark.createDataFrame([], s) for n, s in jobs.schemas.RAW_TABLES.items()}
+    tables = {**rest, "raw_ticketmaster_events": raw_table(spark, tmp_path, "raw_ticketmaster_events")}
+    built = build(tables, str(tmp_path / "marts"), lenient=True)
+    assert built.fact_events.first().event_date is None

@@ -180,3 +180,27 @@ def test_literal_rows_have_a_known_size(spark):
     df = literal_rows(spark, [(1, "a"), (2, None)], "i INT, s STRING")
     assert df.dtypes == [("i", "int"), ("s", "string")]
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_histogram_has_all_bins_and_no_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (100.0,), (float("nan"),), (None,)], "p DOUBLE")
+    got = aggregates.histogram(df, "p").orderBy("bin").collect()
+    assert [r.bin for r in got] == list(range(1, 21))
+    assert [r.events for r in got] == [2] + [0] * 18 + [1]
+    assert got[0].bin_low == 1.0 and got[-1].bin_high == pytest.approx(100.0)
+    assert aggregates.histogram(df.where("p IS NULL OR isnan(p)"), "p").collect() == []
+
+
+def test_nan_is_no_price(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (0.0,), (-1.0,), (2.5,), (float("inf"),)], "price_avg DOUBLE")
+    assert [r.price_avg for r in filters.priced_rows(df).collect()] == [2.5, float("inf")]
+    assert df.agg(aggregates.mean_where_positive("price_avg", "m")).first().m == float("inf")
+    exact = df.where("price_avg = 2.5").selectExpr("cast(price_avg as decimal(10,2)) as price_avg")
+    assert filters.priced_rows(exact).count() == 1
+
+
+def test_approximate_distinct_counts(spark):
+    df = spark.range(1000).selectExpr("id % 100 AS a", "id AS b")
+    exact = df.agg(*aggregates.distinct_counts({"a": "a", "b": "b"})).first()
+    about = df.agg(*aggregates.distinct_counts({"a": "a", "b": "b"}, approximate=True)).first()
+    assert tuple(exact) == (100, 1000) and about.a == pytest.approx(100, rel=0.15) and about.b == pytest.approx(1000, rel=0.15)
