@@ -40,6 +40,17 @@ def test_recall_against_brute_force(spark):
     assert all(scores[q, i] == d for q in found for i, d in found[q] if (q, i) in scores)
 
 
+def test_recall_of_a_part_of_the_rows(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + 0.6 * rng.normal(size=16)).astype(np.float32).tolist()) for i in range(4000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = as_dict(ann.search(frame, frame.where("vec_id % 100 = 0"), share=0.1, least_rows=0))
+    wanted = exact(rows, rows[::100])
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= 0.9 * 10 * len(wanted)
+
+
 def test_large_cells_are_split_and_ties_go_to_the_smaller_id(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 20)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(200)] + [(1000 + i, [float(i), -1.0, 0.5]) for i in range(50)]
