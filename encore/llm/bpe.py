@@ -24,14 +24,14 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from .common import named
+from .common import named, small_batches
 
 #: Words a worker keeps, at most, and their longest length.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+KEPT_WORDS, KEPT_LENGTH = 120_000, 64
 #: Characters of a text that are split into words at once, up to the next blank.
 SLICE = 1 << 19
 #: Words of slices that are learnt together, about.
-WORDS_AT_ONCE = 300_000
+WORDS_AT_ONCE = 150_000
 #: Fixed values of byte-level vocabularies: the bytes that stand for themselves.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -265,6 +265,7 @@ def encode(
     Columns outside ``keep`` are left aside; a kept one named like an output gives way to it.
     """
     keep = [c for c in keep if c not in outputs]
+    small_batches(rows.sparkSession)
     content = rows.sparkSession.sparkContext.broadcast(tokenizer)
     source = rows.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     whole = {"ids", "decoded"} & set(outputs)

@@ -25,6 +25,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return scan(spark, f"{folder}/{name}.parquet", SCHEMAS[name])
 
 
+#: Rows of texts that go to Python at once, at most.
+ROWS_PER_BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch, where it is higher: a batch of whole texts is held
+    several times, in the JVM's direct memory and in Python, by each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import checkpointed
+from .common import checkpointed, small_batches
 from .components import roots
 
 SEED, WORDS, DISTANCE, PARTITIONS = 42, 4, 4, 4
@@ -51,6 +51,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def fingerprints(rows: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(id, fp) for every row; fp holds the 64 bits as a signed number."""
+    small_batches(rows.sparkSession)
     kind = rows.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

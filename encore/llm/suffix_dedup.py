@@ -30,6 +30,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .common import small_batches
+
 LENGTH, GRAM = 50, 24
 #: Bytes of text in a chunk, about, and anchors in a shard, about.
 CHUNK_BYTES, SHARD_ANCHORS = 4_000_000, 1_500_000
@@ -279,6 +281,7 @@ def without_repeats(
     give none; other columns are ignored; a kept column named like a result gives way.
     """
     keep = [c for c in keep if c not in (id, "n_bytes", "spans", "kept", "kept_sha256")]
+    small_batches(rows.sparkSession)
     big = F.lit((1 << 63) - 1)
     source = rows.select(
         F.coalesce(F.col(f"`{id}`").cast("long"), big).alias("_id"),

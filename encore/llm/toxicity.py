@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import checkpointed, named
+from .common import checkpointed, named, small_batches
 
 #: Labelled rows of each class that the lexicon and the weights are fitted on, about, at most.
 ROWS_PER_CLASS = 10_000
@@ -31,7 +31,7 @@ STEMS = (4, 5, 6, 7)
 #: A feature of the lexicon is in this share of toxic texts at least, and so many times likelier in them (log odds).
 SUPPORT, LEAST_TEXTS, LEAST_ODDS = 0.01, 5, 4.0
 LEXICON = 5_000
-FEATURES_AT_ONCE = 300_000
+FEATURES_AT_ONCE = 100_000
 THRESHOLD = 0.3
 #: Evidence that more of it adds nothing to.
 FULL = 8.0
@@ -190,6 +190,7 @@ def learn(
     lexicon and scores all texts alike, below the threshold.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     ids = named(labels, [id, label]).toDF("id", "y").where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
     ids = ids.where(~held_out(F.col("id")))
     sizes = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
@@ -257,6 +258,7 @@ def score(
     rows give none; columns outside ``keep`` are left aside, a kept one named like a result gives way.
     """
     keep = [c for c in keep if c not in ("score", "predicted")]
+    small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast((model.lexicon, model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

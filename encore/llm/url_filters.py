@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ascii_lower
@@ -74,28 +74,26 @@ class OpenRules:
 
 
 def sweep(default: str, kept: Sequence[str]):
-    """Function for ``mapInPandas`` over partitions sorted by unit, key and kind (rules before pages)."""
+    """Function for ``mapInArrow`` over partitions sorted by unit, key and kind (rules before pages)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rules = None, OpenRules()
         for batch in batches:
             is_page, judged = [], []
-            for at, key, kind, path, rule, verdict in zip(
-                zip(batch["_label"], batch["_salt"]), batch["_key"], batch["_kind"],
-                batch["_path"], batch["_rule"], batch["_verdict"],
-            ):
-                if at != unit:
-                    unit, rules = at, OpenRules()
+            columns = [batch.column(c).to_pylist() for c in ("_label", "_salt", "_key", "_kind", "_path", "_rule", "_verdict")]
+            for label, salt, key, kind, path, rule, verdict in zip(*columns):
+                if (label, salt) != unit:
+                    unit, rules = (label, salt), OpenRules()
                 rules.move_to(key)
                 is_page.append(kind == 1)
                 if kind == 0:
                     rules.add(key, path, rule, verdict)
                 else:
                     judged.append(rules.best(key, path) or (None, default))
-            out = batch.loc[is_page, [*kept, "_host", "_path"]].reset_index(drop=True)
-            out["_rule"] = [r for r, _ in judged]
-            out["_verdict"] = [v for _, v in judged]
-            yield out
+            pages = batch.filter(pa.array(is_page, pa.bool_()))
+            found = [pa.array([j[i] for j in judged], pa.string()) for i in (0, 1)]
+            names = [*kept, "_host", "_path"]
+            yield pa.RecordBatch.from_arrays([*[pages.column(n) for n in names], *found], names=[*names, "_rule", "_verdict"])
 
     return run
 
@@ -139,7 +137,7 @@ def judge(
     both = left.unionByName(right).withColumn("_label", F.substring_index("_key", ".", 1))
     dealt = both.repartition("_label", "_salt").sortWithinPartitions("_label", "_salt", "_key", "_kind")
     types = [f"{k} {pages.schema[c].dataType.simpleString()}" for c, k in zip(keep, kept)]
-    judged = dealt.mapInPandas(
+    judged = dealt.mapInArrow(
         sweep(default, kept), ", ".join([*types, "_host string", "_path string", "_rule string", "_verdict string"])
     )
     return judged.select(

@@ -45,6 +45,12 @@ def test_rules_of_the_query(spark):
                      3: ("com/fr/", "allow"), 4: ("com/de/", "block"), 5: (None, "allow")}
 
 
+def test_large_ids_beside_nulls(spark):
+    big = (1 << 62) + 1
+    pages = spark.createDataFrame([(big, "http://a.b/"), (None, "http://a.b/")], "page_id long, url string").coalesce(1)
+    assert {r.page_id for r in url_filters.judge(pages, spark.createDataFrame([], RULES), splits=1).collect()} == {big, None}
+
+
 def test_ties_nulls_and_empty_tables(spark, rows):
     pages = spark.createDataFrame([(1, "http://a.b/x"), (1, "http://a.b/x"), (None, None)], "page_id long, url string")
     rules = spark.createDataFrame([("b", "/x", "allow"), ("b", "/x", "block"), (None, "/", "block"), ("b", None, "block")], RULES)
