@@ -58,11 +58,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of steps whose results are already written."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only these columns, so that extra ones cannot clash with an operator's own."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
