@@ -282,11 +282,15 @@ def without_repeats(
     """
     keep = [c for c in keep if c not in (id, "n_bytes", "spans", "kept", "kept_sha256")]
     small_batches(rows.sparkSession)
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in (id, *keep)}
+    # whole numbers that may be missing would come to pandas as floats: they travel as text
+    carried = {c: "string" if k in ("tinyint", "smallint", "int", "bigint") else k for c, k in kinds.items()}
     big = F.lit((1 << 63) - 1)
     source = rows.select(
         F.coalesce(F.col(f"`{id}`").cast("long"), big).alias("_id"),
         F.coalesce(F.encode(F.col(f"`{text}`"), "UTF-8"), F.lit(b"")).alias("_text"),
-        F.struct(F.col(f"`{id}`").alias("id"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("_row"))
+        F.struct(F.col(f"`{id}`").cast(carried[id]).alias("id"), *[
+            F.col(f"`{c}`").cast(carried[c]).alias(f"k{i}") for i, c in enumerate(keep)]).alias("_row"))
     total = rows.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     chunks = max(16, -(-total // chunk_bytes))
     shards = max(16, -(-total // (14 * SHARD_ANCHORS)))
@@ -419,9 +423,8 @@ def without_repeats(
         return pd.concat([documents[["id", *[f"k{i}" for i in range(len(keep))]]], done], axis=1)
 
     texts_wanted = texts
-    types = [f"id {rows.schema[id].dataType.simpleString()}"] + [
-        f"k{i} {rows.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+    types = [f"id {carried[id]}"] + [f"k{i} {carried[c]}" for i, c in enumerate(keep)]
     result = flat.groupBy("chunk").cogroup(all_told.groupBy("chunk")).applyInPandas(finish, ", ".join(
         [*types, "n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string"]))
-    return result.select(F.col("id").alias(id), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
+    return result.select(F.col("id").cast(kinds[id]).alias(id), *[F.col(f"k{i}").cast(kinds[c]).alias(c) for i, c in enumerate(keep)],
                          "n_bytes", "spans", "kept", "kept_sha256")

@@ -4,7 +4,6 @@ import random
 import re
 
 import numpy as np
-import pandas as pd
 import pytest
 import xxhash
 

@@ -58,6 +58,14 @@ def test_every_window_of_smaller_ids_goes(spark, seed):
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
 
 
+def test_large_numbers_beside_nulls(spark):
+    big = (1 << 62) + 1
+    rows = [(big + i, "x" * 60, None if i % 2 else big + i) for i in range(40)] + [(None, "x" * 60, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    found = {(r.doc_id, r.n): [tuple(x) for x in r.spans] for r in s.without_repeats(frame, keep=["n"]).collect()}
+    assert found == {(i, n): [] if i == big else [(0, 60)] for i, _, n in rows}
+
+
 def test_whole_characters_stay_text(spark):
     rows = [(1, "é" * 40 + "a"), (2, "xx" + "é" * 40 + "ü" * 3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
