@@ -75,7 +75,7 @@ def test_pages(spark):
         schemas.PAGE_DOC,
     )
     a, b, c, d = landed.parse_pages(pages).orderBy("artist_name").collect()
-    assert (a.artist_id, a.monthly_listeners, a.page_title, a.page_description, len(a.raw_markdown)) == ("id1", 85000, "Title", "d", 5000)
+    assert (a.artist_id, a.monthly_listeners, a.page_title, a.page_description, len(a.raw_markdown)) == ("id1", 85000, "Title", "d", 6025)
     assert json.loads(a.raw_metadata) == {"title": "t", "description": "d"}
     assert (b.monthly_listeners, b.page_title, b.page_description) == (None, "t", "")
     assert (c.page_title, c.raw_markdown, c.raw_metadata) == ("", None, None)

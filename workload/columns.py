@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from encore.functions import calendar as cal, keys, money, nested, parse, report_text as text, text as words
 from encore.operators.lookup import geocode
+from encore.plans import staging
 
 from . import roles
 from .ingest import page_documents
@@ -73,7 +74,8 @@ def drop_helper(t):
 
 @query("scl1_trim", "select doc_id, trim(' ' || source || '  ') as source from documents")
 def trim(t):
-    return t.documents.select("doc_id", F.trim(F.concat(F.lit(" "), "source", F.lit("  "))).alias("source"))
+    padded = t.documents.select("doc_id", F.concat(F.lit(" "), "source", F.lit("  ")).alias("source"))
+    return padded.select("doc_id", *staging._trim("source"))
 
 
 @query("scl2_title_case", f"""
@@ -172,10 +174,10 @@ def surrogate_key(t):
 def casts(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        F.col("l_quantity").cast("decimal(10,2)").cast("double").alias("dec"),
-        F.col("l_quantity").cast("bigint").alias("int"),
-        F.col("l_shipdate").cast("date").cast("string").alias("day"),
-        F.col("l_returnflag").try_cast("bigint").alias("lenient"),
+        staging._cast("l_quantity", "decimal(10,2)", False).cast("double").alias("dec"),
+        staging._cast("l_quantity", "bigint", False).alias("int"),
+        staging._cast("l_shipdate", "date", False).cast("string").alias("day"),
+        staging._cast("l_returnflag", "bigint", True).alias("lenient"),
     )
 
 

@@ -8,7 +8,7 @@ from encore.functions.calendar import DAYS, MONTHS
 from encore.operators import aggregates, filters, joins, ranking
 from encore.operators.checks import failed_run, not_null, repeated_keys, run_checks, unique
 from encore.operators.latest import first_per_key, latest_per_key
-from encore.operators.lookup import geocode
+from encore.operators.lookup import exact_places, geocode
 from encore.operators.scaffold import fill_days
 from encore.plans import marts, reports
 
@@ -135,7 +135,7 @@ def full_outer(t):
 
 @query("jn5_inner_by_name", "select t.artist_name, tour_name, monthly_listeners from tours t join listeners l on t.artist_name = l.artist_name")
 def inner_by_name(t):
-    return roles.tours(t).join(roles.listeners(t), "artist_name").select("artist_name", "tour_name", "monthly_listeners")
+    return reports.revenue_comparison(roles.tours(t), roles.listeners(t)).select("artist_name", "tour_name", "monthly_listeners")
 
 
 @query("jn6_left_by_stripped_name", """
@@ -172,8 +172,9 @@ def calendar_scaffold(t):
 @query("jn9_exact_lookup", """
   select venue_key, p.lat, p.lon from halls h left join places p on h.city = p.city and h.state = p.state""")
 def exact_lookup(t):
-    places = roles.places(t).select("city", "state", "lat", "lon")
-    return roles.venues(t).join(places, ["city", "state"], "left").select("venue_key", "lat", "lon")
+    places, venues = exact_places(roles.places(t)), roles.venues(t)
+    found = venues.join(places, (venues.city == places["__city"]) & (venues.state == places["__state"]), "left")
+    return found.select("venue_key", F.col("__lat").alias("lat"), F.col("__lon").alias("lon"))
 
 
 @query("jn10_lookup_with_fallback", "select venue_key, city, state, lat, lon from located")
