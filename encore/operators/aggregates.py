@@ -87,7 +87,8 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     raw_bin = F.coalesce(F.width_bucket("v", "low", "high", F.lit(bins)), F.lit(1))
     filled = placed.groupBy(F.least(raw_bin, F.lit(bins)).cast("int").alias("bin")).agg(F.sum("n").alias("events"))
     last = F.when(F.col("low") == F.col("high"), 1).otherwise(bins)
-    every = bounds.where("low IS NOT NULL").select("low", "high", F.explode(F.sequence(F.lit(1), last)).alias("bin"))
+    one = df.sparkSession.range(1).select(both.alias("b")).select("b.low", "b.high").where("low IS NOT NULL")
+    every = one.select("low", "high", F.explode(F.sequence(F.lit(1), last)).alias("bin"))
     width = (F.col("high") - F.col("low")) / bins
     return every.join(filled, "bin", "left").select(
         "bin",
