@@ -4,7 +4,7 @@ Numbers, names and units of a text become typed placeholders, so a question aske
 again with other values keeps its template. Windows of five template tokens of the
 documents are hash-joined with those of the benchmark; a document that holds most
 windows of an item is a candidate; its slots are then compared: one value of the item must
-always have become the same value of the document.
+always have become the same value of the document, or of one passage aligned with the item.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import checkpointed
 
 WINDOW, SIMILARITY = 5, 0.8
+#: Tokens that a passage may have more or fewer than the item before a window of it.
+DRIFT = 8
 #: Windows of a benchmark that are broadcast, at most (some 24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -60,20 +62,52 @@ def windows(rows: DataFrame, key: str, width: int = WINDOW) -> DataFrame:
     return tokens.select(key, F.explode(each).alias("hash"))
 
 
-def slots(rows: DataFrame, key: str, name: str, width: int = WINDOW) -> DataFrame:
-    """(key, hash, values) of the windows with a placeholder; values are null where a token is a word."""
+def occurrences(rows: DataFrame, keys: list[str], at: str, name: str, width: int = WINDOW) -> DataFrame:
+    """(keys, at, hash, values) of every window at its place; values are null where a token is a word."""
     is_slot = lambda t: F.startswith(t, F.lit("⟦"))
-    split = rows.select(key, template(F.col("marked")).alias("tokens"),
+    split = rows.select(*keys, template(F.col("marked")).alias("tokens"),
                         F.regexp_extract_all("marked", F.lit(SLOT), F.lit(1)).alias("given"))
     # slots before each token: a running count, then the value at that count
-    placed = split.select(key, "tokens", "given", F.filter(
+    placed = split.select(*keys, "tokens", "given", F.filter(
         F.sequence(F.lit(1), F.size("tokens")), lambda i: is_slot(F.element_at("tokens", i))).alias("places"))
-    valued = placed.select(key, "tokens", F.transform("tokens", lambda t, i: F.when(
+    valued = placed.select(*keys, "tokens", F.transform("tokens", lambda t, i: F.when(
         is_slot(t), F.try_element_at("given", F.array_position("places", i + 1).cast("int")))).alias("values"))
     each = F.transform(_starts(F.col("tokens"), width), lambda i: F.struct(
         F.xxhash64(F.slice("tokens", i, width)).alias("hash"), F.slice("values", i, width).alias("values")))
-    cut = valued.select(key, F.explode(each).alias("w"))
-    return cut.select(key, "w.hash", F.col("w.values").alias(name)).where(F.exists(name, lambda v: v.isNotNull()))
+    cut = valued.select(*keys, F.posexplode(each).alias(at, "w"))
+    return cut.select(*keys, at, "w.hash", F.col("w.values").alias(name))
+
+
+def _kept_values(matches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_slots, same_slots) of matched windows: distinct values of the item, and those that became one value."""
+    pairs = matches.select(*keys, F.explode(F.arrays_zip("asked", "given")).alias("v")).where(
+        "v.asked IS NOT NULL AND v.given IS NOT NULL")
+    per_value = pairs.groupBy(*keys, F.lower("v.asked").alias("asked")).agg(
+        F.min(F.lower("v.given")).alias("low"), F.max(F.lower("v.given")).alias("high"))
+    return per_value.groupBy(*keys).agg(
+        F.count("*").alias("n_slots"), F.count_if(F.col("low") == F.col("high")).alias("same_slots"))
+
+
+def _passages(matches: DataFrame, totals: DataFrame, similarity: float) -> DataFrame:
+    """(id, item, n_slots, same_slots) of the pairs of which one aligned passage holds the item with consistent slots.
+
+    A passage is an offset of a document's places to an item's, with the windows at most ``DRIFT`` off it; each
+    window of the item counts there once, where it is nearest, so equal windows elsewhere say nothing.
+    """
+    rows = ["id", "row", "item", "item_row"]
+    offset = F.col("there") - F.col("here")
+    offsets = matches.select(*rows, offset.alias("anchor")).distinct()
+    near = matches.withColumn("anchor", F.explode(F.sequence(offset - DRIFT, offset + DRIFT))).join(
+        offsets, [*rows, "anchor"], "left_semi")
+    chosen = near.groupBy(*rows, "anchor", "here").agg(F.min_by(
+        F.struct("hash", "asked", "given"), F.struct(F.abs(offset - F.col("anchor")), offset)).alias("w")).select(
+        *rows, "anchor", "w.*")
+    held = chosen.groupBy(*rows, "anchor").agg(F.count_distinct("hash").alias("held")).join(totals, ["item", "item_row"])
+    whole = held.where(F.col("held") >= similarity * F.col("n_row"))
+    judged = whole.join(_kept_values(chosen, [*rows, "anchor"]), [*rows, "anchor"])
+    judged = judged.where(F.col("same_slots") >= similarity * F.col("n_slots"))
+    best = F.max_by(F.struct("n_slots", "same_slots"), F.struct(F.col("same_slots") / F.col("n_slots"), "n_slots", "held"))
+    return judged.groupBy("id", "item").agg(best.alias("b")).select("id", "item", "b.*")
 
 
 def contaminated(
@@ -84,7 +118,8 @@ def contaminated(
 
     ``share`` of the item's distinct windows are in the document, ``similarity`` at least. ``n_slots`` counts the distinct
     slot values of the item in shared windows, ``same_slots`` those that always became one value of the document; a pair
-    is returned if that holds for the same share of them, or without slots. Items of fewer tokens than a window match nothing, null texts are
+    is returned if that holds for the same share of them, or without slots. Where it does not hold over the whole document, one aligned
+    passage that holds the same share of the item's windows suffices, and both numbers are that passage's. Items of fewer tokens than a window match nothing, null texts are
     empty, rows with a null id or item cannot be named and are left out. Rows with one
     id count as one document, also with one item id as one item. Empty tables give no
     rows; extra columns are ignored.
@@ -103,16 +138,26 @@ def contaminated(
     counted = shared.groupBy("id", "item").agg(F.count("*").alias("found")).join(small(totals), "item")
     candidates = counted.where(F.col("found") >= similarity * F.col("n_windows"))
 
-    candidates = checkpointed(candidates)  # read three times
-    suspects = source.join(candidates.select("id").distinct(), "id", "left_semi").select("id", marked(F.col("text")).alias("marked"))
-    asked = slots(items, "item", "asked", width).join(candidates.select("id", "item"), "item")
-    pairs = slots(suspects, "id", "given", width).join(asked, ["id", "hash"]).select(
-        "id", "item", F.explode(F.arrays_zip("asked", "given")).alias("v")).where("v.asked IS NOT NULL AND v.given IS NOT NULL")
-    per_value = pairs.groupBy("id", "item", F.lower("v.asked").alias("asked")).agg(
-        F.min(F.lower("v.given")).alias("low"), F.max(F.lower("v.given")).alias("high"))
-    per_pair = per_value.groupBy("id", "item").agg(
-        F.count("*").alias("n_slots"), F.count_if(F.col("low") == F.col("high")).alias("same_slots"))
-    judged = candidates.join(per_pair, ["id", "item"], "left").na.fill(0, ["n_slots", "same_slots"])
-    return judged.where(F.col("same_slots") >= similarity * F.col("n_slots")).select(
+    candidates = checkpointed(candidates)  # read several times
+    asked = occurrences(items.select("item", F.xxhash64("marked").alias("item_row"), "marked").distinct(),
+                        ["item", "item_row"], "here", "asked", width)
+
+    def matches(pairs: DataFrame) -> DataFrame:
+        suspects = source.join(pairs.select("id").distinct(), "id", "left_semi").select(
+            "id", F.xxhash64("text").alias("row"), marked(F.col("text")).alias("marked"))
+        return occurrences(suspects, ["id", "row"], "there", "given", width).join(
+            pairs.select("id", "item").join(small(asked), "item"), ["id", "hash"])
+
+    with_slots = matches(candidates).where(F.exists("asked", lambda v: v.isNotNull()))
+    judged = candidates.join(_kept_values(with_slots, ["id", "item"]), ["id", "item"], "left").na.fill(0, ["n_slots", "same_slots"])
+    judged = checkpointed(judged)  # read twice
+    consistent = F.col("same_slots") >= similarity * F.col("n_slots")
+    found, open_pairs = judged.where(consistent), judged.where(~consistent)
+    if not open_pairs.isEmpty():
+        # some values became several over all pairings of equal windows: judge them passage by passage
+        row_totals = asked.groupBy("item", "item_row").agg(F.count_distinct("hash").alias("n_row"))
+        passages = _passages(checkpointed(matches(open_pairs)), small(row_totals), similarity)
+        found = found.unionByName(open_pairs.drop("n_slots", "same_slots").join(passages, ["id", "item"]))
+    return found.select(
         F.col("id").alias(id), F.col("item").alias(item), "n_windows", "found",
         (F.col("found") / F.col("n_windows")).alias("share"), "n_slots", "same_slots")

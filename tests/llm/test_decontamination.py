@@ -39,6 +39,21 @@ def test_reparameterised_questions(spark):
     assert all(r.same_slots < r.n_slots for r in loose)
 
 
+def test_repeating_windows_are_compared_where_they_align(spark):
+    series = "The numbers of the series 12, 15, 18, 21, 24, 27, 30 and 33 grow by the same step, which number follows after them"
+    fruit = "so Tom has 3 apples and 4 pears and Ann has 5 apples and 6 pears in a basket, how many pieces of fruit do they have"
+    again = fruit.replace("3", "13").replace("4", "14").replace("5", "15").replace("6", "16").replace("Tom", "Eve").replace("Ann", "Lee")
+    torn = fruit.replace("in a basket", "in a wide basket")
+    two = fruit.replace("Tom has 3", "Tom has 8").replace("Ann has 5", "Ann has 9")
+    docs = [(1, "a text before, " + series + ". And more"), (2, fruit), (3, "first " + fruit + ". then " + again), (4, again), (5, torn)]
+    mixed = "how has Tom 3 apples and then 3 pears and 3 plums and 3 nuts left over"
+    other = "how has Tom 4 apples and then 5 pears and 6 plums and 7 nuts left over"
+    rows = d.contaminated(spark.createDataFrame([*docs, (6, other), (7, two)], DOCS),
+                          spark.createDataFrame([(1, series), (2, fruit), (3, mixed)], ITEMS)).collect()
+    assert {(1, 1), (2, 2), (3, 2), (4, 2), (5, 2), (7, 2)} == {(r.doc_id, r.item_id) for r in rows}
+    assert {(r.doc_id, r.n_slots == r.same_slots) for r in rows} == {(i, True) for i in (1, 2, 3, 4, 5, 7)}
+
+
 def test_shuffled_beyond_the_broadcast_bound(spark, monkeypatch):
     rng = random.Random(1)
     text = lambda n: " ".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(n))
