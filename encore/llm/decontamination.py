@@ -20,8 +20,26 @@ DRIFT = 8
 BROADCAST_WINDOWS = 1_000_000
 
 NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-#: A run of capitalised words inside a sentence.
-NAME = r"([\p{Ll}⟧,;] )(\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*)"
+#: Capitalised at the start of a sentence, these are no names.
+FUNCTION_WORDS = (
+    "a|about|after|all|also|although|an|and|another|any|are|as|at|because|before|both|but|by|calculate|can|could|determine|did|do|does|"
+    "during|each|either|every|few|find|finally|first|for|from|given|had|has|have|he|her|here|his|how|however|i|if|in|is|it|its|just|"
+    "let|many|more|most|much|my|neither|next|no|not|now|of|on|one|only|or|other|our|out|over|she|should|since|so|some|such|suppose|than|"
+    "that|the|their|them|then|there|therefore|these|they|this|those|though|thus|to|two|under|until|up|was|we|were|what|when|where|"
+    "whether|which|while|who|whom|whose|why|with|without|would|yet|you|your|"
+    "aber|alle|als|am|an|auch|auf|aus|bei|bis|da|dann|das|dass|dem|den|der|des|die|dies|diese|dieser|doch|durch|ein|eine|einem|einen|"
+    "einer|eines|er|es|für|hat|hatte|ich|ihr|ihre|im|ist|jede|jeder|jedes|kein|keine|man|mit|nach|nicht|noch|nun|nur|ob|oder|seine|"
+    "sie|sind|um|und|unter|vom|von|vor|wann|warum|was|weil|welche|welcher|wenn|wer|wie|wieviel|wir|wo|zu|zum|zur|zwei|"
+    "après|au|aux|avant|avec|ce|ces|cet|cette|chaque|combien|comme|comment|dans|de|deux|donc|du|elle|elles|en|est|et|il|ils|je|la|le|"
+    "les|leur|lorsque|mais|ne|nous|où|ou|par|pas|pendant|plus|pour|pourquoi|quand|que|quel|quelle|quels|qui|sa|sans|ses|si|son|sous|sur|"
+    "tous|tout|toutes|très|un|une|vous|"
+    "al|antes|aunque|cada|como|cómo|con|cual|cuál|cuando|cuándo|cuanto|cuánto|cuántos|cuántas|del|desde|después|donde|dónde|dos|el|ella|"
+    "ellos|entonces|entre|era|esta|este|esto|hasta|hay|las|lo|los|luego|mientras|muy|no|para|pero|por|porque|pues|qué|quién|se|según|ser|"
+    "sin|sobre|son|su|sus|también|todo|todos|una|y|ya|yo"
+)
+#: A run of capitalised words, wherever it stands; a function word ends it.
+_WORD = rf"(?!(?i:{FUNCTION_WORDS})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{L}}\p{{M}}]*"
+NAME = rf"(?<![\p{{L}}\p{{M}}])(?<!⟦u:){_WORD}(?: {_WORD})*"
 #: Fixed words that count as units after a number.
 UNITS = (
     "%|percent|kg|g|mg|km|m|cm|mm|miles|mile|metres|meters|feet|inches|litres|liters|l|ml|seconds|second|minutes|minute|"
@@ -37,7 +55,7 @@ def marked(text: Column) -> Column:
     plain = F.translate(F.coalesce(text, F.lit("")), "⟦⟧", "  ")
     plain = F.regexp_replace(plain, NUMBER, "⟦n:$0⟧")
     plain = F.regexp_replace(plain, UNIT, "$1 ⟦u:$2⟧")
-    return F.regexp_replace(plain, NAME, "$1⟦p:$2⟧")
+    return F.regexp_replace(plain, NAME, "⟦p:$0⟧")
 
 
 def template(text: Column) -> Column:

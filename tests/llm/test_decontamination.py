@@ -54,6 +54,19 @@ def test_repeating_windows_are_compared_where_they_align(spark):
     assert {(r.doc_id, r.n_slots == r.same_slots) for r in rows} == {(i, True) for i in (1, 2, 3, 4, 5, 7)}
 
 
+PROBLEM = ("Natalia sold 48 clips in April. Natalia then sold half as many clips in May. Natalia gave 10 clips away: "
+           "Natalia's sister took 3 clips. How many clips did Natalia sell altogether?")
+
+
+def test_names_at_the_start_of_sentences(spark):
+    weng = PROBLEM.replace("Natalia", "Weng").replace("48", "96").replace("10", "7").replace("April", "June")
+    quoted = "Intro.\n\"" + PROBLEM.replace("Natalia", "Mary Ann") + "\" (so it was asked)"
+    lines = PROBLEM.replace(". ", ".\n").replace("Natalia", "Wu").replace(": ", ":\t")
+    docs = [(1, weng), (2, quoted), (3, lines), (4, PROBLEM), (5, "Weng sold all of it. How many were sold in April is not known.")]
+    rows = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, PROBLEM)], ITEMS)).collect()
+    assert {r.doc_id: (r.share >= 0.9, r.n_slots == r.same_slots) for r in rows} == {i: (True, True) for i in (1, 2, 3, 4)}
+
+
 def test_shuffled_beyond_the_broadcast_bound(spark, monkeypatch):
     rng = random.Random(1)
     text = lambda n: " ".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(n))
