@@ -9,6 +9,8 @@ always have become the same value of the document, or of one passage aligned wit
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import checkpointed
@@ -38,8 +40,10 @@ FUNCTION_WORDS = (
     "sin|sobre|son|su|sus|también|todo|todos|una|y|ya|yo"
 )
 #: A run of capitalised words, wherever it stands; a function word ends it.
-_WORD = rf"(?!(?i:{FUNCTION_WORDS})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{L}}\p{{M}}]*"
-NAME = rf"(?<![\p{{L}}\p{{M}}])(?<!⟦u:){_WORD}(?: {_WORD})*"
+_BY_LETTER = {w[0]: [v[1:] for v in FUNCTION_WORDS.split("|") if v[0] == w[0]] for w in FUNCTION_WORDS.split("|")}
+_FUNCTION = "|".join(f"{letter}(?:{'|'.join(dict.fromkeys(rest))})" for letter, rest in _BY_LETTER.items())
+_WORD = rf"(?!(?i:{_FUNCTION})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{L}}\p{{M}}]*"
+NAME = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{M}}])(?<!⟦u:){_WORD}(?: {_WORD})*"
 #: Fixed words that count as units after a number.
 UNITS = (
     "%|percent|kg|g|mg|km|m|cm|mm|miles|mile|metres|meters|feet|inches|litres|liters|l|ml|seconds|second|minutes|minute|"
@@ -47,6 +51,9 @@ UNITS = (
     "prozent|jahre|tage|stunden|minuten|heures|jours|ans|horas|años"
 )
 UNIT = rf"(?i)(⟦n:[^⟧]*⟧ ?)({UNITS})(?![\p{{L}}\p{{N}}])"
+#: Letters of scripts that put no blanks between words (Thai to Myanmar, Khmer, kana, Bopomofo, Han); each is a token.
+#: Ranges, as every letter of every text is tried: a lookup of its script takes far longer.
+UNSPACED = r"[\u0E00-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u312F\u31A0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{323AF}]"
 SLOT = r"⟦[nup]:([^⟧]*)⟧"
 
 
@@ -61,7 +68,9 @@ def marked(text: Column) -> Column:
 def template(text: Column) -> Column:
     """Tokens of a marked text: lower-cased words and placeholders without values, punctuation left aside."""
     slots = F.regexp_replace(text, r"⟦([nup]):[^⟧]*⟧", " ⟦$1⟧ ")
-    return F.split(F.trim(F.regexp_replace(F.lower(slots), r"[^\p{L}\p{M}⟦⟧]+", " ")), " ")
+    words = F.trim(F.regexp_replace(F.lower(slots), r"[^\p{L}\p{M}⟦⟧]+", " "))
+    single = F.trim(F.regexp_replace(F.regexp_replace(words, rf"{UNSPACED}\p{{M}}*", " $0 "), " +", " "))
+    return F.split(F.when(F.rlike(words, F.lit(UNSPACED)), single).otherwise(words), " ")
 
 
 def _starts(tokens: Column, width: int) -> Column:
@@ -69,31 +78,60 @@ def _starts(tokens: Column, width: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def windows(rows: DataFrame, key: str, width: int = WINDOW) -> DataFrame:
-    """(key, hash) of all windows of the column ``marked``.
+def _cut(width: int, short: Sequence[int]) -> Column:
+    """Windows (place, hash, values) of the columns ``tokens`` and ``values``: those of ``width`` tokens, and those as long
+    as the short items. A short window without a word says something by its values only, so they are hashed with it."""
+    def each(length: int) -> Column:
+        def window(i: Column) -> Column:
+            cut, values = F.slice("tokens", i, length), F.slice("values", i, length)
+            plain = F.xxhash64(cut)
+            if length < width:
+                plain = F.when(F.exists(cut, lambda t: ~F.startswith(t, F.lit("⟦"))), plain).otherwise(F.xxhash64(
+                    cut, F.transform(values, lambda v: F.lower(v))))
+            return F.struct((i - 1).alias("place"), plain.alias("hash"), values.alias("values"))
+
+        return F.transform(_starts(F.col("tokens"), length), window)
+
+    return F.concat(*map(each, [width, *short])) if short else each(width)
+
+
+def _whole(width: int) -> Column:
+    """Windows of an item: of fewer tokens than ``width`` the whole sequence is the one window."""
+    size = F.size("tokens")
+    return F.when(size >= width, _cut(width, ())).otherwise(
+        F.filter(_cut(width, range(1, width)), lambda w: (F.size(w["values"]) == size) & (F.element_at("tokens", 1) != "")))
+
+
+def _valued(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, tokens, values) of the column ``marked``; values are null where a token is a word.
 
     Tokens are a column of their own before windows are cut: inside a lambda an expression would be
     evaluated again for every window.
     """
-    tokens = rows.select(key, template(F.col("marked")).alias("tokens"))
-    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.xxhash64(F.slice("tokens", i, width)))
-    return tokens.select(key, F.explode(each).alias("hash"))
-
-
-def occurrences(rows: DataFrame, keys: list[str], at: str, name: str, width: int = WINDOW) -> DataFrame:
-    """(keys, at, hash, values) of every window at its place; values are null where a token is a word."""
     is_slot = lambda t: F.startswith(t, F.lit("⟦"))
     split = rows.select(*keys, template(F.col("marked")).alias("tokens"),
                         F.regexp_extract_all("marked", F.lit(SLOT), F.lit(1)).alias("given"))
     # slots before each token: a running count, then the value at that count
-    placed = split.select(*keys, "tokens", "given", F.filter(
-        F.sequence(F.lit(1), F.size("tokens")), lambda i: is_slot(F.element_at("tokens", i))).alias("places"))
-    valued = placed.select(*keys, "tokens", F.transform("tokens", lambda t, i: F.when(
+    placed = split.select(*keys, "tokens", "given", F.filter(F.transform("tokens", lambda t, i: F.when(
+        is_slot(t), i + 1)), lambda i: i.isNotNull()).alias("places"))
+    return placed.select(*keys, "tokens", F.transform("tokens", lambda t, i: F.when(
         is_slot(t), F.try_element_at("given", F.array_position("places", i + 1).cast("int")))).alias("values"))
-    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.struct(
-        F.xxhash64(F.slice("tokens", i, width)).alias("hash"), F.slice("values", i, width).alias("values")))
-    cut = valued.select(*keys, F.posexplode(each).alias(at, "w"))
-    return cut.select(*keys, at, "w.hash", F.col("w.values").alias(name))
+
+
+def windows(rows: DataFrame, key: str, width: int = WINDOW, short: Sequence[int] = ()) -> DataFrame:
+    """(key, hash) of all windows of the column ``marked``; values are only needed for short ones."""
+    if short:
+        cut = _valued(rows, [key]).select(key, F.transform(_cut(width, short), lambda w: w["hash"]).alias("hashes"))
+        return cut.select(key, F.explode("hashes").alias("hash"))
+    tokens = rows.select(key, template(F.col("marked")).alias("tokens"))
+    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.xxhash64(F.slice("tokens", i, width)))
+    return tokens.select(key, F.explode(each).alias("hash"))
+
+
+def occurrences(rows: DataFrame, keys: Sequence[str], at: str, name: str, cut: Column) -> DataFrame:
+    """(keys, at, hash, values) of every window of ``cut``; values are null where a token is a word."""
+    each = _valued(rows, keys).select(*keys, F.explode(cut).alias("w"))
+    return each.select(*keys, F.col("w.place").alias(at), "w.hash", F.col("w.values").alias(name))
 
 
 def _kept_values(matches: DataFrame, keys: list[str]) -> DataFrame:
@@ -137,16 +175,20 @@ def contaminated(
     ``share`` of the item's distinct windows are in the document, ``similarity`` at least. ``n_slots`` counts the distinct
     slot values of the item in shared windows, ``same_slots`` those that always became one value of the document; a pair
     is returned if that holds for the same share of them, or without slots. Where it does not hold over the whole document, one aligned
-    passage that holds the same share of the item's windows suffices, and both numbers are that passage's. Items of fewer tokens than a window match nothing, null texts are
-    empty, rows with a null id or item cannot be named and are left out. Rows with one
+    passage that holds the same share of the item's windows suffices, and both numbers are that passage's. An item of fewer tokens than a window is one window of all its
+    tokens, without words one of its values; items without tokens match nothing, null texts are empty, rows with a null id or item cannot be named and are left out. Rows with one
     id count as one document, also with one item id as one item. Empty tables give no
     rows; extra columns are ignored.
     """
     items = benchmark.select(F.col(f"`{item}`").alias("item"), marked(F.col("text")).alias("marked")).where("item IS NOT NULL")
-    item_windows = windows(items, "item", width).distinct()
+    asked = occurrences(items.select("item", F.xxhash64("marked").alias("item_row"), "marked").distinct(),
+                        ["item", "item_row"], "here", "asked", _whole(width))
+    asked = checkpointed(asked)  # read several times
+    short = [r[0] for r in asked.where(F.size("asked") < width).select(F.size("asked")).distinct().collect()]  # below width
+    item_windows = asked.select("item", "hash").distinct()
     totals = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
     source = documents.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id IS NOT NULL")
-    in_documents = windows(source.select("id", marked(F.col("text")).alias("marked")), "id", width)
+    in_documents = windows(source.select("id", marked(F.col("text")).alias("marked")), "id", width, short)
     few = item_windows.count() <= BROADCAST_WINDOWS
 
     def small(side: DataFrame) -> DataFrame:
@@ -157,13 +199,11 @@ def contaminated(
     candidates = counted.where(F.col("found") >= similarity * F.col("n_windows"))
 
     candidates = checkpointed(candidates)  # read several times
-    asked = occurrences(items.select("item", F.xxhash64("marked").alias("item_row"), "marked").distinct(),
-                        ["item", "item_row"], "here", "asked", width)
 
     def matches(pairs: DataFrame) -> DataFrame:
         suspects = source.join(pairs.select("id").distinct(), "id", "left_semi").select(
             "id", F.xxhash64("text").alias("row"), marked(F.col("text")).alias("marked"))
-        return occurrences(suspects, ["id", "row"], "there", "given", width).join(
+        return occurrences(suspects, ["id", "row"], "there", "given", _cut(width, short)).join(
             pairs.select("id", "item").join(small(asked), "item"), ["id", "hash"])
 
     with_slots = matches(candidates).where(F.exists("asked", lambda v: v.isNotNull()))

@@ -67,6 +67,15 @@ def test_names_at_the_start_of_sentences(spark):
     assert {r.doc_id: (r.share >= 0.9, r.n_slots == r.same_slots) for r in rows} == {i: (True, True) for i in (1, 2, 3, 4)}
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    chinese = "小明有三个苹果，小红有五个梨，他们一共有多少水果？"
+    items = [(1, "What is 7 + 5?"), (2, chinese), (3, "12 / 30"), (4, "..."), (5, None), (6, "ผมมีหนังสือ")]
+    docs = [(1, "so he asked: what is 8 + 9? and left"), (2, "前文" + chinese + "后文"), (3, "a share of 12 30 in all"), (4, "a share of 12 31"),
+            (5, "what was 7 + 5"), (6, "และผมมีหนังสือมาก"), (7, None)]
+    rows = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 2), (3, 3), (6, 6)}
+
+
 def test_shuffled_beyond_the_broadcast_bound(spark, monkeypatch):
     rng = random.Random(1)
     text = lambda n: " ".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(n))
