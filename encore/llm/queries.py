@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, decontamination, html_extraction, sharding, simhash, suffix_dedup, toxicity, url_filters
+from . import (
+    ann, bpe, chat, decontamination, fingerprints, html_extraction, repair, sharding, simhash, suffix_dedup, toxicity, url_filters, whitening,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +142,32 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold benchmark items, re-parameterised ones included."""
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint against those of its edited text and of the next document."""
+    found = fingerprints.compare_with_edits(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations damaged, audited and repaired at least cost."""
+    conversations = table(spark, folder, "conversations")
+    found = repair.repair(repair.damaged(conversations), times="times")
+    report = found.report().withColumnRenamed("conv_id", "r")
+    hashed = repair.digests(found.messages()).withColumnRenamed("conv_id", "h")
+    whole = conversations.select("conv_id").distinct().join(report, F.col("conv_id").eqNullSafe(F.col("r")), "left").join(
+        hashed, F.col("conv_id").eqNullSafe(F.col("h")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return whole.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whitened on up to 16 components."""
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
