@@ -1,173 +1,144 @@
 """Document fingerprints by invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is the set of digests of its paragraphs: lines and sentences, long ones in runs of words. A sketch has three rows of
-cells; a digest is counted in one cell of each row, which holds the number of its digests and the exclusive or of them and of
-their checks. Sketches of two versions subtract cell by cell, which leaves what differs; a cell with one digest left names it,
-and taking that out of its other cells uncovers more. If some cells stay, a larger sketch is tried: the digests are
-dealt by their bits to groups of a few each, whose sketches are subtracted and peeled one by one, and again in wider ones
-where that fails. So the work grows with the number of paragraphs, however long a text is.
+A text is the set of digests of its paragraphs: lines, long ones in runs of words, and finer runs of its opening, so that short
+texts have several. A sketch has three rows of cells; a digest is counted in one cell of each row, which holds the number of its
+digests and the exclusive or of them and of their checks. Its fingerprint is a small sketch. To compare two versions, sketches
+as wide as their numbers of paragraphs are subtracted cell by cell, which leaves what differs; a cell with one digest left names it, and
+taking that out of its other cells uncovers more. Cells are rows, so peeling is a chain of aggregations by cell that never leave the
+partition of their document: the work grows with the number of paragraphs, however long a text is. Where cells stay, the documents
+are compared again with wider sketches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import checkpointed
 
-#: Words of a paragraph digest at most, and letters of a word; longer ones are cut.
-WORDS, LETTERS = 12, 24
-#: A run of words of one line, up to the end of a sentence.
-PARAGRAPH = rf"(?:\S{{1,{LETTERS}}}+(?<![.!?])[^\S\n]+){{0,{WORDS - 1}}}\S{{1,{LETTERS}}}"
-#: Cells in a row of the sketch of a whole text, and of the sketches of a group, tried in turn; powers of two.
-BASE, WIDTHS = 4, (8, 16, 32, 64, 128)
-#: Digests of a group, about, and rounds of peeling before the next larger sketch is tried.
-GROUP, ROUNDS = 8, 8
-ROWS = 3
+#: Words of a run at most, those of a run of the opening, letters of the opening, and letters of a word; longer ones are cut.
+WORDS, OPENING_WORDS, OPENING, LETTERS = 24, 4, 256, 24
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+def runs(words: int) -> str:
+    """Pattern of a run of words of one line."""
+    return rf"(?:\S{{1,{LETTERS}}}+[^\S\n]+){{0,{words - 1}}}\S{{1,{LETTERS}}}"
+
+
+#: Rows of a sketch, cells in a row of a fingerprint, and of the first sketch compared at least; each retry is ``WIDER`` times as wide.
+ROWS, BASE, LEAST, WIDER = 3, 4, 16, 4
+#: Rounds of peeling before the next wider sketch is tried; each looks at one row of cells in turn.
+ROUNDS = 12
 
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of a text's paragraphs; none of a null or blank text."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
+    text = F.coalesce(text, F.lit(""))
+    opening = F.regexp_extract_all(F.left(text, F.lit(OPENING)), F.lit(runs(OPENING_WORDS)), F.lit(0))
+    found = F.concat(opening, F.regexp_extract_all(text, F.lit(runs(WORDS)), F.lit(0)))
     return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
 
 
-def marked(digest: Column, width: int, sign: Column | None = None) -> Column:
-    """A digest with its check and its place in each row of cells; both depend on the width."""
-    bits = F.xxhash64(digest, F.lit(width))
-    places = [F.shiftrightunsigned(bits, 21 * row).bitwiseAND(F.lit(width - 1)).cast("int").alias(f"p{row}") for row in range(ROWS)]
-    check = F.xxhash64(digest, F.lit(-width)).alias("check")
-    return F.struct(digest.alias("key"), check, *places, *([sign.cast("int").alias("n")] if sign is not None else []))
-
-
-def _cell(n: Column, key: Column, check: Column) -> Column:
-    return F.struct(n.alias("n"), key.alias("key"), check.alias("check"))
+def place(digest: Column, row: int | Column, width: int | Column) -> Column:
+    """The cell of a digest in a row of a sketch; widths are powers of two."""
+    width = F.lit(width) if isinstance(width, int) else width
+    return F.xxhash64(digest, width, F.lit(row) if isinstance(row, int) else row).bitwiseAND(width.cast("long") - 1)
 
 
-def sketch(values: Column, width: int) -> Column:
-    """The cells of an array of digests: three rows of ``width``, one after another."""
-    nothing = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+def check(digest: Column) -> Column:
+    return F.xxhash64(digest, F.lit(-1))
 
-    def rows(each: Column) -> Column:
-        def row(r: int) -> Column:
-            def cell(place: Column) -> Column:
-                def add(c: Column, m: Column) -> Column:
-                    more = _cell(c["n"] + 1, c["key"].bitwiseXOR(m["key"]), c["check"].bitwiseXOR(m["check"]))
-                    return F.when(m[f"p{r}"] == place, more).otherwise(c)
 
-                return F.aggregate(each, nothing, add)
+def sketch(values: Column, width: int = BASE) -> Column:
+    """The cells (n, key, check) of an array of digests, row by row."""
+    nothing = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
 
-            return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), cell)
+    def row(r: int) -> Column:
+        marks = F.transform(values, lambda d: F.struct(d.alias("key"), check(d).alias("check"), place(d, r, width).alias("at")))
 
-        return F.concat(*map(row, range(ROWS)))
+        def cell(marks: Column, at: Column) -> Column:
+            def add(c: Column, m: Column) -> Column:
+                return F.when(m["at"] == at, F.struct(
+                    (c["n"] + 1).alias("n"), c["key"].bitwiseXOR(m["key"]).alias("key"), c["check"].bitwiseXOR(m["check"]).alias("check"))).otherwise(c)
 
-    return let(F.transform(values, lambda d: marked(d, width)), rows)
+            return F.aggregate(marks, nothing, add)
 
+        # the marks are made once for all cells: an array of one element binds them
+        return F.transform(F.array(marks), lambda m: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda at: cell(m, at)))[0]
 
-def subtracted(a: Column, b: Column) -> Column:
-    """Cells of what a has and b has not (counted 1), and of the reverse (counted -1)."""
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
+    return F.concat(*map(row, range(ROWS)))
 
 
-def _is_empty(c: Column) -> Column:
-    return (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)
+def written(cells: Column) -> Column:
+    """A sketch as text: number, digests and checks of each cell in hex."""
+    one = lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))
+    return F.array_join(F.transform(cells, one), "/")
 
 
-def peeled(cells: Column, width: int) -> Column:
-    """``removed`` and ``added`` digests of subtracted cells, or null if some cells cannot be told apart."""
-    found = F.array().cast("array<struct<key:bigint,n:int>>")
+#: The row number of a digest that has been recovered.
+FOUND = ROWS
 
-    def is_pure(c: Column) -> Column:
-        return (F.abs(c["n"]) == 1) & (c["check"] == F.xxhash64(c["key"], F.lit(-width)))
 
-    def take(cells: Column, out: Column) -> Column:
-        def less(c: Column, at: Column) -> Column:
-            def one(c: Column, m: Column) -> Column:
-                here = F.element_at(F.array(m["p0"], m["p1"] + width, m["p2"] + 2 * width), F.floor(at / width).cast("int") + 1) == at
-                return F.when(here, _cell(c["n"] - m["n"], c["key"].bitwiseXOR(m["key"]), c["check"].bitwiseXOR(m["check"]))).otherwise(c)
+def subtracted(rows: DataFrame, keys: Sequence[str], left: str, others: Sequence[str], attempt: int = 0) -> DataFrame:
+    """Cells (keys, pair, width, row, at, n, key, check) of the sketch of ``left`` minus that of each other array, empty ones left out."""
+    def width(other: str) -> Column:
+        both = F.greatest(F.size(left) + F.size(other), F.lit(LEAST))
+        return (F.pow(F.lit(2.0), F.ceil(F.log2(both))) * WIDER ** attempt).cast("int")
 
-            return F.when(_is_empty(c), c).otherwise(F.aggregate(out, c, one))
+    def side(i: int, name: str, sign: int) -> Column:
+        return F.transform(name, lambda d: F.struct(
+            F.lit(i).alias("pair"), F.col(f"_width{i}").alias("width"), F.lit(sign).alias("n"), d.alias("key")))
 
-        return F.transform(cells, less)
+    sized = rows.select(*keys, left, *others, *[width(o).alias(f"_width{i}") for i, o in enumerate(others)])
+    both = F.concat(*[side(i, name, sign) for i, o in enumerate(others) for name, sign in ((left, 1), (o, -1))])
+    each = sized.select(*keys, F.explode(both).alias("d")).select(*keys, "d.*", check(F.col("d.key")).alias("check"))
+    cells = each.select(*each.columns, F.explode(F.array(*map(F.lit, range(ROWS)))).alias("row"))
+    placed = cells.select(*keys, "pair", "width", "row", place(F.col("key"), F.col("row"), F.col("width")).alias("at"), "n", "key", "check")
+    return added_up(placed, keys)
 
-    def step(state: Column, _: Column) -> Column:
-        def go(pure: Column) -> Column:
-            out = F.transform(pure, lambda p: marked(p["key"], width, p["n"]))
-            return F.when(F.size(pure) == 0, state).otherwise(F.struct(
-                let(out, lambda o: take(state["cells"], o)).alias("cells"), F.concat(state["found"], pure).alias("found")))
 
-        pure = F.filter(state["cells"], is_pure)
-        return let(F.array_distinct(F.transform(pure, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n")))), go)
+def added_up(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a cell; the empty ones are left out."""
+    summed = cells.groupBy(*keys, "pair", "width", "row", "at").agg(
+        F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return summed.where("n <> 0 OR key <> 0 OR check <> 0")
 
-    def result(state: Column) -> Column:
-        side = lambda n: F.transform(F.filter(state["found"], lambda f: f["n"] == n), lambda f: f["key"])
-        return F.when(F.forall(state["cells"], _is_empty), F.struct(side(1).alias("removed"), side(-1).alias("added")))
 
-    start = F.struct(cells.alias("cells"), found.alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, result)
+def peeled(cells: DataFrame, keys: Sequence[str], row: int) -> DataFrame:
+    """Cells after taking out the digests that are alone in a cell of a row; a digest has one cell in it, so none is taken twice."""
+    pure = (F.col("row") == row) & (F.abs("n") == 1) & (F.col("check") == check(F.col("key")))
 
+    def change(to: int, at: Column, n: Column) -> Column:
+        return F.struct(F.lit(to).alias("row"), at.alias("at"), n.alias("n"))
 
-def written(cells: Column) -> Column:
-    """A sketch as text: number, digests and checks of each cell in hex."""
-    one = lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))
-    return F.array_join(F.transform(cells, one), "/")
+    taken = [change(FOUND, F.col("key"), F.col("n"))] + [
+        change(r, place(F.col("key"), r, F.col("width")), -F.col("n")) for r in range(ROWS) if r != row]
+    stays = F.struct(F.col("row"), F.col("at"), F.col("n"))
+    changes = F.when(pure, F.array(*taken)).otherwise(F.array(stays))
+    return added_up(cells.select(*keys, "pair", "width", F.explode(changes).alias("c"), "key", "check").select(
+        *keys, "pair", "width", "c.*", "key", "check"), keys)
 
 
-def _groups(a: Column, b: Column) -> Column:
-    """A power of two: groups that the digests of both sides are dealt to."""
-    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), (F.size(a) + F.size(b)) / GROUP)))).cast("long")
+def differences(rows: DataFrame, keys: Sequence[str], left: str, others: Sequence[str], attempt: int = 0, lists: bool = True) -> DataFrame:
+    """Keys and for each array of digests in ``others`` a struct (n_removed, n_added, failed; with ``lists`` removed and added) against ``left``.
 
+    ``keys`` are unique and not null, arrays hold distinct digests and are not null. Nothing is shuffled if the rows are partitioned by some of the keys. What is recovered is
+    exact: ``failed`` says that some cells of a sketch could not be emptied, and asks for another ``attempt``. Rows without any difference are left out.
+    """
+    cells = subtracted(rows, keys, left, others, attempt)
+    for i in range(ROUNDS):
+        cells = peeled(cells, keys, i % ROWS)
 
-def differences(rows: DataFrame, keys: Sequence[str], left: str, others: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Keys and ``keep``, and for each array of digests in ``others`` a struct (removed, added) against the array ``left``.
+    def of(i: int) -> Column:
+        found, here = F.col("row") == FOUND, F.col("pair") == i
+        counts = [F.count_if(here & found & (F.col("n") == sign)).alias(name) for name, sign in (("n_removed", 1), ("n_added", -1))]
+        digests_of = [F.collect_list(F.when(here & found & (F.col("n") == sign), F.col("key"))).alias(name)
+                      for name, sign in (("removed", 1), ("added", -1))]
+        failed = F.count_if(here & ~found) > 0
+        return F.struct(*counts, failed.alias("failed"), *(digests_of if lists else [])).alias(others[i])
 
-    ``left`` and others have sketches of ``BASE`` in the columns ``<name>_cells``, which are subtracted first. ``keys`` are unique and not
-    null. If the rows are partitioned by a part of the keys, nothing is shuffled. Digests recovered are exact: a sketch counts only if
-    all of its cells are emptied.
-    """
-    tried = rows.select(*keys, *keep, left, *others, *[
-        peeled(subtracted(F.col(f"{left}_cells"), F.col(f"{o}_cells")), BASE).alias(f"{o}_found") for o in others])
-    meta = F.struct(*keep, *[f"{o}_found" for o in others]).alias("meta")
-    none = F.lit(None)
-
-    def dealt(i: int, other: str) -> Column:
-        groups = _groups(F.col(left), F.col(other))
-        def side(name: str, sign: int) -> Column:  # noqa: E306
-            one = lambda d: F.struct(
-                F.lit(i).alias("pair"), d.bitwiseAND(F.col(f"_groups{i}") - 1).alias("group"), F.lit(sign).alias("sign"), d.alias("digest"))
-            return F.transform(name, one)
-        empty = F.array().cast("array<struct<pair:int,group:bigint,sign:int,digest:bigint>>")
-        return groups, F.when(F.col(f"{other}_found").isNull(), F.concat(side(left, 1), side(other, -1))).otherwise(empty)
-
-    parts = [dealt(i, o) for i, o in enumerate(others)]
-    sized = tried.select("*", *[g.alias(f"_groups{i}") for i, (g, _) in enumerate(parts)])
-    head = F.array(F.struct(F.lit(-1).alias("pair"), F.lit(0).cast("long").alias("group"), F.lit(0).alias("sign"), none.cast("long").alias("digest")))
-    # the row's other columns go along once, with the first element
-    each = sized.select(*keys, meta, F.posexplode(F.concat(head, *[p for _, p in parts])).alias("at", "e")).select(
-        *keys, "e.*", F.when(F.col("at") == 0, F.col("meta")).alias("meta"))
-    of = lambda sign: F.collect_list(F.when(F.col("sign") == sign, F.col("digest")))
-    grouped = each.groupBy(*keys, "pair", "group").agg(
-        of(1).alias("a"), of(-1).alias("b"), F.first("meta", ignorenulls=True).alias("meta"))
-    # wider and wider sketches; the next one is only made where the one before fails
-    sketches = [peeled(subtracted(sketch(F.col("a"), w), sketch(F.col("b"), w)), w) for w in WIDTHS]
-    exact = F.struct(F.array_except("a", "b").alias("removed"), F.array_except("b", "a").alias("added"))
-    found = F.when(F.col("pair") >= 0, F.coalesce(*sketches, exact))
-    solved = grouped.select(*keys, "pair", "meta", found.alias("found"))
-
-    def gathered(i: int, side: str) -> Column:
-        return F.flatten(F.collect_list(F.when(F.col("pair") == i, F.col(f"found.{side}")))).alias(f"{side}{i}")
-
-    whole = solved.groupBy(*keys).agg(F.first("meta", ignorenulls=True).alias("meta"), *[
-        gathered(i, side) for i in range(len(others)) for side in ("removed", "added")])
-    return whole.select(*keys, *[F.col(f"meta.{c}").alias(c) for c in keep], *[
-        F.coalesce(F.col(f"meta.{o}_found"), F.struct(F.col(f"removed{i}").alias("removed"), F.col(f"added{i}").alias("added"))).alias(o)
-        for i, o in enumerate(others)])
+    return cells.groupBy(*keys).agg(*[of(i) for i in range(len(others))])
 
 
 KEYS = ["known", "id", "hash"]
@@ -197,19 +168,9 @@ def successors(rows: DataFrame) -> DataFrame:
     return inside.join(following, "range").select(*KEYS, "times", "n_chars", F.coalesce("next", "following").alias("next"))
 
 
-def compare_with_edits(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each document's fingerprint, that of an edited text, and the paragraphs that differ.
-
-    Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, n_paragraphs, edited (removed, added), next (removed, added),
-    n_edited, n_next (their paragraphs), near_edited, near_next. The edited text has the last half (rounded down) of the code points replaced by as many
-    of the first of the next document, ascending ids; after the last comes the first. Null texts are empty, null ids come
-    before all others, documents with one id are ordered by a digest of their texts. Rows equal in id and text count as one document with a row of
-    its own for each. ``near`` is twice the number of common paragraphs over the number of both sides', 1 if neither has any.
-    Texts with the same paragraphs in another order have equal fingerprints. No documents give no rows, other columns are left aside.
-    """
-    rows = keyed(documents, id, text)
-    texts = rows.dropDuplicates(KEYS)  # by the keys of the joins that follow: one shuffle of texts
-    after = successors(rows)
+def versions(texts: DataFrame, after: DataFrame) -> DataFrame:
+    """(keys, times, n_chars, mine, edited, next, edited_sha256) of the documents in ``after``: digests of the text, of the edited one and
+    of the following text. Of the following text only what the edit needs and the digests are shuffled."""
     own = texts.join(after.select(*KEYS, "times", "n_chars"), KEYS)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     previous = after.select(*[F.col(f"next.{k}").alias(k) for k in KEYS], F.struct(*KEYS).alias("previous"), half.alias("wanted"))
@@ -217,20 +178,50 @@ def compare_with_edits(documents: DataFrame, id: str = "doc_id", text: str = "te
         *[F.col(f"previous.{k}").alias(k) for k in KEYS], F.expr("left(text, wanted)").alias("head"), digests(F.col("text")).alias("next"))
     kept = F.expr("left(text, cast(n_chars - floor(n_chars / 2) as int))")
     both = own.select(*KEYS, "times", "n_chars", digests(F.col("text")).alias("mine"), kept.alias("kept")).join(heads, KEYS)
-    edits = both.select(*KEYS, "times", "n_chars", "mine", "next", F.concat("kept", "head").alias("text")).select(
+    return both.select(*KEYS, "times", "n_chars", "mine", "next", F.concat("kept", "head").alias("text")).select(
         *KEYS, "times", "n_chars", "mine", "next", F.sha2("text", 256).alias("edited_sha256"), digests(F.col("text")).alias("edited"))
-    versions = ["mine", "edited", "next"]
-    sketched = edits.select("*", *[sketch(F.col(v), BASE).alias(f"{v}_cells") for v in versions])
-    sizes = [F.size(v).alias(f"n_{v}") for v in versions]
-    ready = sketched.select("*", *sizes, written(F.col("mine_cells")).alias("fingerprint"), written(F.col("edited_cells")).alias("edited_fingerprint"))
-    keep = ["times", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *[f"n_{v}" for v in versions]]
-    found = differences(ready, KEYS, "mine", ["edited", "next"], keep)
+
+
+PAIRS = ["edited", "next"]
+
+
+def _compared(rows: DataFrame, after: DataFrame, lists: bool, attempt: int = 0) -> DataFrame:
+    """Fingerprints and differences of the documents in ``after``; again and wider for those whose sketches could not be emptied."""
+    texts = rows.dropDuplicates(KEYS)  # by the keys of the joins that follow: one shuffle of texts
+    each = versions(texts, after)
+    sizes = [F.size(v).alias(f"n_{v}") for v in ("mine", *PAIRS)]
+    prints = [written(sketch(F.col(v))).alias(name) for v, name in (("mine", "fingerprint"), ("edited", "edited_fingerprint"))]
+    own = each.select(*KEYS, "times", "n_chars", "edited_sha256", *sizes, *prints)
+    found = checkpointed(own.join(differences(each, KEYS, "mine", PAIRS, attempt, lists), KEYS, "left"))
+    failed = F.coalesce("edited.failed", F.lit(False)) | F.coalesce("next.failed", F.lit(False))
+    again = found.where(failed).select(KEYS)
+    if again.isEmpty():
+        return found
+    left = checkpointed(after.join(again, KEYS, "left_semi"))
+    needed = left.select(*KEYS).union(left.select("next.*")).distinct()
+    return found.where(~failed).unionByName(_compared(rows.join(needed, KEYS, "left_semi"), left, lists, attempt + 1))
+
+
+def compare_with_edits(documents: DataFrame, id: str = "doc_id", text: str = "text", lists: bool = True) -> DataFrame:
+    """Each document's fingerprint, that of an edited text, and the paragraphs that differ.
+
+    Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, n_paragraphs, n_edited, n_next (of the text, the edited and the following one),
+    near_edited, near_next and, with ``lists``, the digests removed_edited, added_edited, removed_next, added_next. The edited text has the last half (rounded down) of the
+    code points replaced by as many of the first of the next document, ascending ids; after the last comes the first. Null texts are empty, null ids come
+    before all others, documents with one id are ordered by a digest of their texts. Rows equal in id and text count as one document, with a row of
+    its own for each. ``near`` is twice the number of common paragraphs over the number of both sides', 1 if neither has any.
+    Texts with the same paragraphs in another order have equal fingerprints. No documents give no rows, other columns are left aside.
+    """
+    rows = keyed(documents, id, text)
+    found = _compared(rows, checkpointed(successors(rows)), lists)
 
     def near(other: str) -> Column:
         total = F.col("n_mine") + F.col(f"n_{other}")
-        differing = F.size(f"{other}.removed") + F.size(f"{other}.added")
+        differing = F.coalesce(F.col(f"{other}.n_removed") + F.col(f"{other}.n_added"), F.lit(0))
         return F.when(total == 0, F.lit(1.0)).otherwise((total - differing) / total).alias(f"near_{other}")
 
+    none = F.array().cast("array<bigint>")
+    digests_of = [F.coalesce(f"{o}.{side}", none).alias(f"{side}_{o}") for o in PAIRS for side in ("removed", "added")] if lists else []
     return found.select("*", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).select(
         F.when(F.col("known"), F.col("id")).alias(id), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        F.col("n_mine").alias("n_paragraphs"), "n_edited", "n_next", "edited", "next", near("edited"), near("next"))
+        F.col("n_mine").alias("n_paragraphs"), "n_edited", "n_next", *map(near, PAIRS), *digests_of)

@@ -147,7 +147,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint against those of its edited text and of the next document."""
-    found = fingerprints.compare_with_edits(table(spark, folder, "documents"))
+    found = fingerprints.compare_with_edits(table(spark, folder, "documents"), lists=False)
     return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
