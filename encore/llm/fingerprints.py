@@ -5,8 +5,8 @@ texts have several. A sketch has three rows of cells; a digest is counted in one
 digests and the exclusive or of them and of their checks. Its fingerprint is a small sketch. To compare two versions, sketches
 as wide as their numbers of paragraphs are subtracted cell by cell, which leaves what differs; a cell with one digest left names it, and
 taking that out of its other cells uncovers more. Cells are rows, so peeling is a chain of aggregations by cell that never leave the
-partition of their document: the work grows with the number of paragraphs, however long a text is. Where cells stay, the documents
-are compared again with wider sketches.
+partition of their document, of which there are as many as the number of paragraphs asks for. Where cells stay, the documents are
+compared again with wider sketches.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import checkpointed
 
 #: Words of a run at most, those of a run of the opening, letters of the opening, and letters of a word; longer ones are cut.
-WORDS, OPENING_WORDS, OPENING, LETTERS = 24, 4, 256, 24
+WORDS, OPENING_WORDS, OPENING, LETTERS = 64, 4, 160, 24
 
 
 def runs(words: int) -> str:
@@ -27,9 +27,11 @@ def runs(words: int) -> str:
 
 
 #: Rows of a sketch, cells in a row of a fingerprint, and of the first sketch compared at least; each retry is ``WIDER`` times as wide.
-ROWS, BASE, LEAST, WIDER = 3, 4, 16, 4
+ROWS, BASE, LEAST, WIDER = 3, 2, 16, 4
 #: Rounds of peeling before the next wider sketch is tried; each looks at one row of cells in turn.
 ROUNDS = 12
+#: Digests of one task, about; each has a cell in every row.
+DIGESTS_PER_TASK = 100_000
 
 
 def digests(text: Column) -> Column:
@@ -71,8 +73,8 @@ def sketch(values: Column, width: int = BASE) -> Column:
 
 
 def written(cells: Column) -> Column:
-    """A sketch as text: number, digests and checks of each cell in hex."""
-    one = lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))
+    """A sketch as text: number, digests and half the checks of each cell in hex."""
+    one = lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"].bitwiseAND(F.lit((1 << 32) - 1))))
     return F.array_join(F.transform(cells, one), "/")
 
 
@@ -185,21 +187,22 @@ def versions(texts: DataFrame, after: DataFrame) -> DataFrame:
 PAIRS = ["edited", "next"]
 
 
-def _compared(rows: DataFrame, after: DataFrame, lists: bool, attempt: int = 0) -> DataFrame:
-    """Fingerprints and differences of the documents in ``after``; again and wider for those whose sketches could not be emptied."""
-    texts = rows.dropDuplicates(KEYS)  # by the keys of the joins that follow: one shuffle of texts
-    each = versions(texts, after)
-    sizes = [F.size(v).alias(f"n_{v}") for v in ("mine", *PAIRS)]
-    prints = [written(sketch(F.col(v))).alias(name) for v, name in (("mine", "fingerprint"), ("edited", "edited_fingerprint"))]
-    own = each.select(*KEYS, "times", "n_chars", "edited_sha256", *sizes, *prints)
-    found = checkpointed(own.join(differences(each, KEYS, "mine", PAIRS, attempt, lists), KEYS, "left"))
-    failed = F.coalesce("edited.failed", F.lit(False)) | F.coalesce("next.failed", F.lit(False))
-    again = found.where(failed).select(KEYS)
+def solved(each: DataFrame, keys: Sequence[str], left: str, others: Sequence[str], lists: bool = True, attempt: int = 0) -> DataFrame:
+    """``differences`` of a written table without a failed one: those are found again, with wider sketches.
+
+    Digests are dealt to tasks by their number, so that cells fit in memory whatever the partitions of the texts were.
+    """
+    sizes = each.select(F.sum(F.size(left) * len(others) + sum((F.size(o) for o in others), F.lit(0))).alias("n")).first()
+    dealt = each.select(*keys, left, *others).repartition(1 + (sizes.n or 0) // DIGESTS_PER_TASK, *keys)
+    found = checkpointed(differences(dealt, keys, left, others, attempt, lists))
+    failed = F.lit(False)
+    for o in others:
+        failed = failed | F.col(f"{o}.failed")
+    again = found.where(failed).select(*keys)
     if again.isEmpty():
         return found
-    left = checkpointed(after.join(again, KEYS, "left_semi"))
-    needed = left.select(*KEYS).union(left.select("next.*")).distinct()
-    return found.where(~failed).unionByName(_compared(rows.join(needed, KEYS, "left_semi"), left, lists, attempt + 1))
+    wider = solved(checkpointed(each.select(*keys, left, *others).join(again, keys, "left_semi")), keys, left, others, lists, attempt + 1)
+    return found.where(~failed).unionByName(wider)
 
 
 def compare_with_edits(documents: DataFrame, id: str = "doc_id", text: str = "text", lists: bool = True) -> DataFrame:
@@ -213,7 +216,12 @@ def compare_with_edits(documents: DataFrame, id: str = "doc_id", text: str = "te
     Texts with the same paragraphs in another order have equal fingerprints. No documents give no rows, other columns are left aside.
     """
     rows = keyed(documents, id, text)
-    found = _compared(rows, checkpointed(successors(rows)), lists)
+    texts = rows.dropDuplicates(KEYS)  # by the keys of the joins that follow: one shuffle of whole texts
+    each = versions(texts, checkpointed(successors(rows)))
+    sizes = [F.size(v).alias(f"n_{v}") for v in ("mine", *PAIRS)]
+    prints = [written(sketch(F.col(v))).alias(name) for v, name in (("mine", "fingerprint"), ("edited", "edited_fingerprint"))]
+    each = checkpointed(each.select("*", *sizes, *prints))  # read by each attempt
+    found = each.drop("mine", *PAIRS).join(solved(each, KEYS, "mine", PAIRS, lists), KEYS, "left")
 
     def near(other: str) -> Column:
         total = F.col("n_mine") + F.col(f"n_{other}")
