@@ -4,7 +4,11 @@ Numbers, names and units of a text become typed placeholders, so a question aske
 again with other values keeps its template. Windows of five template tokens of the
 documents are hash-joined with those of the benchmark; a document that holds most
 windows of an item is a candidate; its slots are then compared: one value of the item must
-always have become the same value of the document, or of one passage aligned with the item.
+always have become the same value of the document, or of one passage aligned with the item. Copies word by word and number by number
+are found whatever the case of their letters, by windows of plain tokens.
+
+Marking names is costly, so a first pass over all documents looks for runs of three plain words only: an item whose windows mostly hold
+such runs can only be in documents with a certain number of them, which follows from the item and leaves nothing out.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from .common import checkpointed
 WINDOW, SIMILARITY = 5, 0.8
 #: Tokens that a passage may have more or fewer than the item before a window of it.
 DRIFT = 8
+#: Words of the runs that the first pass looks for.
+RUN = 3
 #: Windows of a benchmark that are broadcast, at most (some 24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -65,12 +71,30 @@ def marked(text: Column) -> Column:
     return F.regexp_replace(plain, NAME, "⟦p:$0⟧")
 
 
-def template(text: Column) -> Column:
-    """Tokens of a marked text: lower-cased words and placeholders without values, punctuation left aside."""
-    slots = F.regexp_replace(text, r"⟦([nup]):[^⟧]*⟧", " ⟦$1⟧ ")
-    words = F.trim(F.regexp_replace(F.lower(slots), r"[^\p{L}\p{M}⟦⟧]+", " "))
-    single = F.trim(F.regexp_replace(F.regexp_replace(words, rf"{UNSPACED}\p{{M}}*", " $0 "), " +", " "))
-    return F.split(F.when(F.rlike(words, F.lit(UNSPACED)), single).otherwise(words), " ")
+def _cut_tokens(text: Column, others: str) -> Column:
+    """Words and what ``others`` matches, in order; letters of scripts without blanks are single."""
+    words = F.regexp_extract_all(text, F.lit(rf"{others}|[\p{{L}}\p{{M}}]+"), F.lit(0))
+    single = F.regexp_extract_all(text, F.lit(rf"{others}|{UNSPACED}\p{{M}}*|(?:(?!{UNSPACED})[\p{{L}}\p{{M}}])+"), F.lit(0))
+    return F.when(F.rlike(text, F.lit(UNSPACED)), single).otherwise(words)
+
+
+def plain(text: Column) -> Column:
+    """Lower-cased words and numbers of a text."""
+    return _cut_tokens(F.lower(F.coalesce(text, F.lit(""))), r"\p{N}+")
+
+
+def is_slot(token: Column) -> Column:
+    return F.startswith(token, F.lit("⟦"))
+
+
+def template(tokens: Column) -> Column:
+    """Lower-cased words and placeholders without their values."""
+    return F.transform(tokens, lambda t: F.when(is_slot(t), F.concat(F.left(t, F.lit(2)), F.lit("⟧"))).otherwise(F.lower(t)))
+
+
+def slot_values(tokens: Column) -> Column:
+    """The values of placeholders, null for words."""
+    return F.transform(tokens, lambda t: F.when(is_slot(t), F.substring(t, F.lit(4), F.char_length(t) - 4)))
 
 
 def _starts(tokens: Column, width: int) -> Column:
@@ -99,7 +123,7 @@ def _whole(width: int) -> Column:
     """Windows of an item: of fewer tokens than ``width`` the whole sequence is the one window."""
     size = F.size("tokens")
     return F.when(size >= width, _cut(width, ())).otherwise(
-        F.filter(_cut(width, range(1, width)), lambda w: (F.size(w["values"]) == size) & (F.element_at("tokens", 1) != "")))
+        F.filter(_cut(width, range(1, width)), lambda w: F.size(w["values"]) == size))
 
 
 def _valued(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,24 +132,57 @@ def _valued(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     Tokens are a column of their own before windows are cut: inside a lambda an expression would be
     evaluated again for every window.
     """
-    is_slot = lambda t: F.startswith(t, F.lit("⟦"))
-    split = rows.select(*keys, template(F.col("marked")).alias("tokens"),
-                        F.regexp_extract_all("marked", F.lit(SLOT), F.lit(1)).alias("given"))
-    # slots before each token: a running count, then the value at that count
-    placed = split.select(*keys, "tokens", "given", F.filter(F.transform("tokens", lambda t, i: F.when(
-        is_slot(t), i + 1)), lambda i: i.isNotNull()).alias("places"))
-    return placed.select(*keys, "tokens", F.transform("tokens", lambda t, i: F.when(
-        is_slot(t), F.try_element_at("given", F.array_position("places", i + 1).cast("int")))).alias("values"))
+    cut = rows.select(*keys, _cut_tokens(F.col("marked"), r"⟦[nup]:[^⟧]*⟧").alias("cut"))
+    return cut.select(*keys, template(F.col("cut")).alias("tokens"), slot_values(F.col("cut")).alias("values"))
+
+
+def _hashes(width: int) -> Column:
+    return F.transform(_starts(F.col("tokens"), width), lambda i: F.xxhash64(F.slice("tokens", i, width)))
 
 
 def windows(rows: DataFrame, key: str, width: int = WINDOW, short: Sequence[int] = ()) -> DataFrame:
     """(key, hash) of all windows of the column ``marked``; values are only needed for short ones."""
-    if short:
-        cut = _valued(rows, [key]).select(key, F.transform(_cut(width, short), lambda w: w["hash"]).alias("hashes"))
-        return cut.select(key, F.explode("hashes").alias("hash"))
-    tokens = rows.select(key, template(F.col("marked")).alias("tokens"))
-    each = F.transform(_starts(F.col("tokens"), width), lambda i: F.xxhash64(F.slice("tokens", i, width)))
-    return tokens.select(key, F.explode(each).alias("hash"))
+    valued = _valued(rows, [key])
+    cut = F.transform(_cut(width, short), lambda w: w["hash"]) if short else _hashes(width)
+    return valued.select(key, F.explode(cut).alias("hash"))
+
+
+def plain_windows(rows: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, hash) of all windows of the plain tokens of the column ``text``."""
+    return rows.select(key, plain(F.col("text")).alias("tokens")).select(key, F.explode(_hashes(width)).alias("hash"))
+
+
+def _run_of(tokens: Column, at: Column) -> Column:
+    """Hash of the run of plain words at a place, null if it has a placeholder or ends before."""
+    run = F.slice(tokens, at, RUN)
+    return F.when((F.size(run) == RUN) & ~F.exists(run, is_slot), F.xxhash64(run))
+
+
+def first_pass(items: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(item, run, needed) of the items that the first pass can look for, and (item) of the others.
+
+    ``items`` has (item, text, marked). A document that holds ``similarity`` of an item's windows, be it of the template or of plain tokens, misses
+    ``lost`` at most; of those that hold a run of words of the template it has thus ``held - lost`` at least. One run serves
+    ``most`` windows at most, so there are (held - lost) / most different runs of the item in the document. Where that is not positive the item needs the others' way.
+    """
+    words = _valued(items, ["item"]).select("item", "tokens")
+    runs = words.select("item", F.explode(F.transform(_starts(F.col("tokens"), RUN), lambda i: _run_of(F.col("tokens"), i))).alias("run"))
+    runs = checkpointed(runs.where("run IS NOT NULL").distinct())
+
+    def needed(rows: DataFrame, name: str) -> DataFrame:
+        parts = F.transform(F.sequence(F.lit(0), F.lit(width - RUN)), lambda j: _run_of(F.col("tokens"), F.col("i") + j))
+        starts = rows.select("item", "tokens", F.explode(_starts(F.col("tokens"), width)).alias("i"))
+        each = starts.select("item", F.xxhash64(F.slice("tokens", F.col("i"), width)).alias("hash"), F.explode_outer(parts).alias("run"))
+        total = each.groupBy("item").agg(F.count_distinct("hash").alias("n"))
+        inside = each.join(runs, ["item", "run"], "left_semi").select("item", "hash", "run").distinct()
+        held = inside.groupBy("item").agg(F.count_distinct("hash").alias("held"))
+        most = inside.groupBy("item", "run").agg(F.count("*").alias("c")).groupBy("item").agg(F.max("c").alias("most"))
+        left = F.col("held") - (F.col("n") - F.ceil(F.col("n") * similarity))
+        return total.join(held, "item").join(most, "item").select("item", F.ceil(left / F.col("most")).alias(name))
+
+    both = needed(words, "a").join(needed(items.select("item", plain(F.col("text")).alias("tokens")), "b"), "item")
+    known = checkpointed(both.select("item", F.least("a", "b").alias("needed")).where("needed >= 1"))
+    return runs.join(known, "item"), items.select("item").distinct().join(known, "item", "left_anti")
 
 
 def occurrences(rows: DataFrame, keys: Sequence[str], at: str, name: str, cut: Column) -> DataFrame:
@@ -175,12 +232,13 @@ def contaminated(
     ``share`` of the item's distinct windows are in the document, ``similarity`` at least. ``n_slots`` counts the distinct
     slot values of the item in shared windows, ``same_slots`` those that always became one value of the document; a pair
     is returned if that holds for the same share of them, or without slots. Where it does not hold over the whole document, one aligned
-    passage that holds the same share of the item's windows suffices, and both numbers are that passage's. An item of fewer tokens than a window is one window of all its
+    passage that holds the same share of the item's windows suffices, and both numbers are that passage's. Where neither holds, the same share of windows of plain
+    tokens (words in any case and numbers) suffices: ``n_windows`` and ``found`` count those, and there are no slots. An item of fewer tokens than a window is one window of all its
     tokens, without words one of its values; items without tokens match nothing, null texts are empty, rows with a null id or item cannot be named and are left out. Rows with one
     id count as one document, also with one item id as one item. Empty tables give no
     rows; extra columns are ignored.
     """
-    items = benchmark.select(F.col(f"`{item}`").alias("item"), marked(F.col("text")).alias("marked")).where("item IS NOT NULL")
+    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col("text"), marked(F.col("text")).alias("marked")).where("item IS NOT NULL")
     asked = occurrences(items.select("item", F.xxhash64("marked").alias("item_row"), "marked").distinct(),
                         ["item", "item_row"], "here", "asked", _whole(width))
     asked = checkpointed(asked)  # read several times
@@ -188,16 +246,34 @@ def contaminated(
     item_windows = asked.select("item", "hash").distinct()
     totals = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
     source = documents.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id IS NOT NULL")
-    in_documents = windows(source.select("id", marked(F.col("text")).alias("marked")), "id", width, short)
     few = item_windows.count() <= BROADCAST_WINDOWS
 
     def small(side: DataFrame) -> DataFrame:
         return F.broadcast(side) if few else side
 
-    shared = in_documents.join(small(item_windows), "hash").groupBy("id", "item", "hash").agg(F.lit(1).alias("one"))
-    counted = shared.groupBy("id", "item").agg(F.count("*").alias("found")).join(small(totals), "item")
-    candidates = counted.where(F.col("found") >= similarity * F.col("n_windows"))
-
+    def shared(found: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(id, item, found): how many different hashes of an item a document has."""
+        once = found.join(small(wanted), "hash").groupBy("id", "item", "hash").agg(F.lit(1).alias("one"))
+        return once.groupBy("id", "item").agg(F.count("*").alias("found"))
+
+    runs, other_items = first_pass(items, width, similarity)
+    runs, other_items = checkpointed(runs), checkpointed(other_items)
+    needed = runs.select("item", "needed").distinct()
+    hits = shared(plain_windows(source, "id", RUN), runs.select("item", F.col("run").alias("hash")))
+    suspects = checkpointed(hits.join(small(needed), "item").where("found >= needed").select("id", "item"))
+    suspected = source.join(suspects.select("id").distinct(), "id", "left_semi")
+
+    def both_ways(cut, wanted: DataFrame, totals: DataFrame) -> DataFrame:
+        """(id, item, n_windows, found) of pairs that share enough windows: suspected ones, and all documents for the other items."""
+        counted = shared(cut(suspected), wanted.join(small(needed.select("item")), "item", "left_semi")).join(suspects, ["id", "item"], "left_semi")
+        if not other_items.isEmpty():
+            counted = counted.unionByName(shared(cut(source), wanted.join(small(other_items), "item", "left_semi")))
+        return counted.join(small(totals), "item").where(F.col("found") >= similarity * F.col("n_windows")).select("id", "item", "n_windows", "found")
+
+    candidates = both_ways(lambda rows: windows(rows.select("id", marked(F.col("text")).alias("marked")), "id", width, short),
+                           item_windows, totals)
+    plain_items = checkpointed(plain_windows(items, "item", width).distinct())
+    copies = both_ways(lambda rows: plain_windows(rows, "id", width), plain_items, plain_items.groupBy("item").agg(F.count("*").alias("n_windows")))
     candidates = checkpointed(candidates)  # read several times
 
     def matches(pairs: DataFrame) -> DataFrame:
@@ -216,6 +292,10 @@ def contaminated(
         row_totals = asked.groupBy("item", "item_row").agg(F.count_distinct("hash").alias("n_row"))
         passages = _passages(checkpointed(matches(open_pairs)), small(row_totals), similarity)
         found = found.unionByName(open_pairs.drop("n_slots", "same_slots").join(passages, ["id", "item"]))
+    found = checkpointed(found)  # read twice
+    verbatim = copies.join(found, ["id", "item"], "left_anti").select(
+        "id", "item", "n_windows", "found", F.lit(0).cast("long").alias("n_slots"), F.lit(0).cast("long").alias("same_slots"))
+    found = found.select("id", "item", "n_windows", "found", "n_slots", "same_slots").unionByName(verbatim)
     return found.select(
         F.col("id").alias(id), F.col("item").alias(item), "n_windows", "found",
         (F.col("found") / F.col("n_windows")).alias("share"), "n_slots", "same_slots")

@@ -91,3 +91,41 @@ def test_shuffled_beyond_the_broadcast_bound(spark, monkeypatch):
 def test_no_rows(spark):
     docs, items = spark.createDataFrame([(1, QUESTION)], DOCS), spark.createDataFrame([(1, QUESTION)], ITEMS)
     assert d.contaminated(docs.limit(0), items).count() == 0 and d.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_copies_in_another_case(spark):
+    docs = [(1, "so: " + QUESTION.upper() + " ..."), (2, "x " + QUESTION.lower()), (3, PROBLEM.upper()), (4, PROBLEM.lower().replace("48", "47")),
+            (5, QUESTION.lower().replace("12", "13").replace("5", "6"))]
+    rows = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, QUESTION), (2, PROBLEM)], ITEMS)).collect()
+    assert {(1, 1), (2, 1), (3, 2)} <= {(r.doc_id, r.item_id) for r in rows} and not any(r.doc_id == 5 and r.n_slots == 0 for r in rows)
+
+
+def test_first_pass_leaves_nothing_out(spark, monkeypatch):
+    """The same pairs as with all items looked for in all documents."""
+    rng = random.Random(5)
+    words = "the of and to in is was for on that with as by at from Tom Ann Berlin 3 14 7.5 kg apples is has".split()
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5, 40)))) for i in range(25)]
+    docs = []
+    for i in range(120):
+        text = items[i % 25][1].split()
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        docs.append((i, " ".join([*rng.choices(words, k=10), *text, *rng.choices(words, k=10)])))
+    a, b = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    found = sorted(map(tuple, d.contaminated(a, b).collect()))
+    first_pass = d.first_pass
+
+    def nothing(items, width, similarity):
+        runs, _ = first_pass(items, width, similarity)
+        return runs.limit(0), items.select("item").distinct()
+
+    assert first_pass(b.selectExpr("item_id AS item", "text", "text AS marked"), 5, 0.8)[0].count() > 0
+    monkeypatch.setattr(d, "first_pass", nothing)
+    assert found == sorted(map(tuple, d.contaminated(a, b).collect())) and len(found) > 20
+
+
+def test_many_numbers_in_one_text(spark):
+    """Values are taken with their tokens, not looked up by their place."""
+    docs = [(1, " ".join(map(str, range(100_000)))), (2, QUESTION)]
+    rows = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(7, QUESTION), (8, "7 + 5 ?")], ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(2, 7)}
