@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import named, small_batches
 
-#: Words a worker keeps, at most, and their longest length.
-KEPT_WORDS, KEPT_LENGTH = 120_000, 64
+#: Words of a generation that a worker keeps (it keeps two), and their longest length.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Characters of a text that are split into words at once, up to the next blank.
 SLICE = 1 << 19
 #: Words of slices that are learnt together, about.
@@ -42,6 +42,22 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(PRINTABLE) else chr(next(shifted)) for b in range(256)]
 
 
+#: All characters before this one have a category.
+FIRST_UNASSIGNED = "\u0378"
+_BEYOND = re.compile(f"[{FIRST_UNASSIGNED}-\U0010ffff]")
+
+
+def may_be_unassigned(text: str) -> bool:
+    """Cheap tests first: most texts have no character beyond Latin."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+        return False
+    except UnicodeEncodeError:
+        return _BEYOND.search(text) is not None and unassigned().search(text) is not None
+
+
 @lru_cache(maxsize=1)
 def unassigned() -> re.Pattern[str]:
     """A character without a category in Python's Unicode tables."""
@@ -91,7 +107,7 @@ class Vocabulary:
         Characters that Python's tables do not know, but those of the installed libraries may, are
         rare; a text with one is split by the library that defines the vocabulary.
         """
-        if not text.isascii() and unassigned().search(text):
+        if may_be_unassigned(text):
             plain = self.splitter.normalizer.normalize_str(text)
             return [plain[a:b] for _, (a, b) in self.splitter.pre_tokenizer.pre_tokenize_str(plain)]
         # lower case by character, so no form of sigma depends on its place
@@ -175,16 +191,20 @@ class Vocabulary:
 
 
 class Encoder:
-    """Texts to tokens, keeping the words seen: the ids and the tokens of each, joined by blanks."""
+    """Texts to tokens, keeping the words seen: the ids and the tokens of each, joined by blanks, in UTF-8.
+
+    Words are kept in two generations. When the younger is full it becomes the older, whose words move on when
+    they are met again; those not met for a whole generation are forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.start()
 
     def start(self) -> None:
-        self.ids: dict[str, str] = {c: str(i) for c, i in self.v.special.items()}
-        self.tokens: dict[str, str] = {c: c for c in self.v.special}
-        self.counts: dict[str, int] = {c: 1 for c in self.v.special}
+        self.ids: dict[str, bytes] = {c: str(i).encode() for c, i in self.v.special.items()}
+        self.tokens: dict[str, bytes] = {c: c.encode() for c in self.v.special}
 
     def slices(self, text: str) -> Iterator[list[str]]:
         """Words and special tokens of a text, slice by slice; slices end before a blank."""
@@ -203,15 +223,23 @@ class Encoder:
             yield words
 
     def learn(self, words: set[str]) -> list[str]:
-        """Encode the words not kept yet; returns those too long to keep, for this slice only."""
-        fresh = list(words.difference(self.ids))
-        for word, ids in zip(fresh, self.v.encode_words(fresh)):
-            self.ids[word] = " ".join([self.v.numbers[i] for i in ids])
-            self.tokens[word] = " ".join([self.v.tokens[i] for i in ids])
-            self.counts[word] = len(ids)
-        return [w for w in fresh if len(w) > KEPT_LENGTH]
+        """Encode the words not kept; returns those too long to keep, for this slice only."""
+        fresh = words.difference(self.ids)
+        ids, tokens = self.older
+        for word in fresh.intersection(ids):
+            self.ids[word], self.tokens[word] = ids[word], tokens[word]
+        unknown = list(fresh.difference(ids))
+        for word, found in zip(unknown, self.v.encode_words(unknown)):
+            self.ids[word] = " ".join([self.v.numbers[i] for i in found]).encode()
+            self.tokens[word] = " ".join([self.v.tokens[i] for i in found]).encode()
+        return [w for w in unknown if len(w) > KEPT_LENGTH]
 
     def encode(self, texts: Sequence[str]) -> Iterator[tuple[int, str, str, int]]:
+        """``pieces`` as strings."""
+        for number, ids, tokens, n in self.pieces(texts):
+            yield number, ids.decode(), tokens.decode(), n
+
+    def pieces(self, texts: Sequence[str]) -> Iterator[tuple[int, bytes, bytes, int]]:
         """(text's number, ids and tokens, each joined by blanks, and their count) of each slice that has words, in order.
 
         Words of some slices are learnt together, so that their trees are worked on side by side.
@@ -228,15 +256,16 @@ class Encoder:
                     waiting, size = [], 0
         yield from self.finish(waiting)
 
-    def finish(self, slices: Sequence[tuple[int, list[str]]]) -> Iterator[tuple[int, str, str, int]]:
+    def finish(self, slices: Sequence[tuple[int, list[str]]]) -> Iterator[tuple[int, bytes, bytes, int]]:
         if len(self.ids) > KEPT_WORDS:
+            self.older = self.ids, self.tokens
             self.start()
         long = self.learn(set().union(*[words for _, words in slices]))
         for number, words in slices:
-            yield (number, " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.tokens.__getitem__, words)),
-                   sum(map(self.counts.__getitem__, words)))
+            ids = b" ".join(map(self.ids.__getitem__, words))
+            yield number, ids, b" ".join(map(self.tokens.__getitem__, words)), ids.count(b" ") + 1
         for word in long:
-            del self.ids[word], self.tokens[word], self.counts[word]
+            del self.ids[word], self.tokens[word]
 
 
 @lru_cache(maxsize=2)
@@ -275,14 +304,16 @@ def encode(
             self.n_tokens, self.ids, self.pieces = 0, [], []
             self.numbers, self.text = hashlib.sha256(), hashlib.sha256()
 
-        def add(self, numbers: str, tokens: str, n: int) -> None:
-            gap = b" " if self.n_tokens else b""
-            self.numbers.update(gap + numbers.encode())
-            self.text.update(gap + tokens.encode())
+        def add(self, numbers: bytes, tokens: bytes, n: int) -> None:
+            if self.n_tokens:
+                self.numbers.update(b" ")
+                self.text.update(b" ")
+            self.numbers.update(numbers)
+            self.text.update(tokens)
             self.n_tokens += n
             if whole:
-                self.ids.append(np.fromstring(numbers, dtype=np.int32, sep=" "))
-                self.pieces.append(tokens)
+                self.ids.append(np.array(numbers.split(), dtype=np.int32))
+                self.pieces.append(tokens.decode())
 
         def row(self) -> dict:
             ids = np.concatenate([np.zeros(0, dtype=np.int32), *self.ids])
@@ -294,7 +325,7 @@ def encode(
         kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
         for batch in batches:
             done = [Result() for _ in range(batch.num_rows)]
-            for number, *piece in encoder.encode(batch.column(len(keep)).to_pylist()):
+            for number, *piece in encoder.pieces(batch.column(len(keep)).to_pylist()):
                 done[number].add(*piece)
             found = [d.row() for d in done]
             columns = [pa.array([d[o] for d in found], type=kinds.get(o, pa.string())) for o in outputs]
