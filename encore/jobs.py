@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -138,6 +139,7 @@ def main() -> None:
     parser.add_argument("--kind", choices=list(KINDS))
     parser.add_argument("--landed", nargs="+", default=[], help="landed feeds, first one first")
     parser.add_argument("--strict", action="store_true", help="one row per dimension key")
+    parser.add_argument("--keep-days", type=float, help="remove versions of the built tables older than this, but the last two")
     parser.add_argument("--lenient", action="store_true", help="values that cannot be read become NULL")
     args = parser.parse_args()
     spark = session("encore")
@@ -148,7 +150,8 @@ def main() -> None:
     elif args.job == "declare":
         declare(spark, args.raw)
     elif args.job == "build":
-        build(raw_tables(spark, args.raw), args.out, strict=args.strict, lenient=args.lenient)
+        keep_for = None if args.keep_days is None else timedelta(days=args.keep_days)
+        build(raw_tables(spark, args.raw), args.out, strict=args.strict, lenient=args.lenient, keep_for=keep_for)
     elif args.job == "find":
         pages_to_read(spark, raw_tables(spark, args.raw)).write.mode("overwrite").parquet(args.out)
     else:

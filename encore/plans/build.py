@@ -1,6 +1,6 @@
 """The whole build: raw tables -> staging -> star schema, and its quality report.
 
-All models are written as tables of the shared folder: staging events feed all four marts, the other
+All models are written as tables of a new version below the shared folder, which readers see as a whole once the last one is there: staging events feed all four marts, the other
 staging models feed many reports and the checks, and none is evaluated twice. Dimensions are written before
 the fact, so that Spark plans its joins from their real sizes.
 """
@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.operators.checks import Check, not_null, run_checks, unique
 from encore.operators.lookup import geocode
+from encore.sources import versions
 from encore.sources.tables import materialise
 
 from . import marts, staging
@@ -48,8 +50,9 @@ class Models:
 
     @classmethod
     def read(cls, spark: SparkSession, location: str) -> "Models":
-        """The models of an earlier build."""
-        return cls(**{f.name: spark.read.parquet(f"{location}/{f.name}") for f in fields(cls)})
+        """The models of the build published last, all of one version."""
+        place = versions.current(spark, location)
+        return cls(**{f.name: spark.read.parquet(f"{place}/{f.name}") for f in fields(cls)})
 
     def star(self, places: DataFrame | None = None, unique_events: bool = False) -> Star:
         """The star for the reports; with ``places`` the venues carry coordinates."""
@@ -96,11 +99,15 @@ def build(
     tiebreaks: dict[str, list] | None = None,
     partition_fact_by: Sequence[str] = (),
     lenient: bool = False,
+    keep_for: timedelta | None = None,
 ) -> Models:
     """Build all models; tables go below ``location``, a folder that all executors share.
 
+    They are a version of their own, published at the end: readers of ``location`` see the version before it
+    until then, and if the build fails. ``keep_for`` removes versions made longer ago, but the last two published.
     Partition the fact, for instance by ``event_date``, where its volume justifies it.
     """
+    root, location = location, versions.new_version(location)
     small = {name: materialise(df, f"{location}/{name}") for name, df in staged(raw, tiebreaks, lenient).items()}
     events = small["stg_ticketmaster_events"]
     listeners, performers = small["stg_spotify_artists"], small["stg_seatgeek_performers"]
@@ -108,6 +115,10 @@ def build(
     venues = materialise(marts.dim_venues(events, strict), f"{location}/dim_venues")
     dates = materialise(marts.dim_dates(events), f"{location}/dim_dates")
     fact = materialise(marts.fact_events(events, artists, venues, dates), f"{location}/fact_events", partition_fact_by)
+    spark = fact.sparkSession
+    versions.publish(spark, root, location)
+    if keep_for is not None:
+        versions.remove_old(spark, root, keep_for)
     return Models(
         dim_artists=artists, dim_venues=venues, dim_dates=dates, fact_events=fact, **small
     )
