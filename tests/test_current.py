@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from encore.operators.current import LatestTable
+from encore.operators.latest import latest_per_key
+
+SCHEMA = "event_id string, name string, price double, loaded_at timestamp"
+
+
+def load(rng, spark, day, n=300):
+    """Rows of a day, some with earlier or no load times and some keys several times."""
+    rows = []
+    for _ in range(n):
+        late = rng.random() < 0.2
+        hour = None if rng.random() < 0.02 else f"2024-05-{max(1, day - 2 if late else day):02d} {rng.randrange(24):02d}:00:00"
+        rows.append((rng.choice([None, *(f"e{i}" for i in range(200))]), f"n{rng.randrange(5)}", float(rng.randrange(9)), hour))
+    return spark.createDataFrame(rows, "event_id string, name string, price double, loaded_at string").withColumn(
+        "loaded_at", F.col("loaded_at").cast("timestamp")).repartition(3)
+
+
+def test_three_loads_with_late_rows_equal_the_whole(spark, rows, tmp_path):
+    rng = random.Random(1)
+    loads = [load(rng, spark, day) for day in (3, 4, 5)]
+    table = LatestTable(spark, str(tmp_path / "t"), SCHEMA, ["event_id"], buckets=8)
+    whole = None
+    for part in loads:
+        table.merge(part)
+        whole = part if whole is None else whole.unionByName(part)
+        assert rows(table.frame()) == rows(latest_per_key(whole, ["event_id"]).select("event_id", "name", "price", "loaded_at"))
+    expected = rows(table.frame())
+    table.merge(loads[1])  # again
+    assert rows(table.frame()) == expected
+    other = LatestTable(spark, str(tmp_path / "o"), SCHEMA, ["event_id"], buckets=3)
+    for part in reversed(loads):
+        other.merge(part)
+    assert rows(other.frame()) == expected
+
+
+def test_only_touched_buckets_are_read_and_written(spark, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), SCHEMA, ["event_id"], buckets=16)
+    first = load(random.Random(2), spark, 3)
+    table.merge(first)
+    few = first.where("event_id IN ('e1', 'e2')").withColumn("loaded_at", F.lit("2024-06-01").cast("timestamp"))
+    touched = sorted({r[0] for r in table._bucketed(few).select("bucket__").collect()})
+    assert len(touched) <= 2 < table.places().count()
+    merged = table.merged(few, touched)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert all(int(f.split("bucket__=")[1].split("/")[0]) in touched for f in merged.inputFiles() if "bucket__=" in f)
+    assert plan.count("Exchange hashpartitioning(bucket__") == 1 and plan.count("Exchange hashpartitioning") == 2  # the load by key, both by bucket
+    before = {r.bucket: r.folder for r in table.places().collect()}
+    assert table.merge(few) == touched
+    after = {r.bucket: r.folder for r in table.places().collect()}
+    assert {b for b in before if before[b] != after[b]} == set(touched)
+
+
+def test_a_merge_that_fails_changes_nothing(spark, rows, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), SCHEMA, ["event_id"], buckets=4)
+    table.merge(load(random.Random(3), spark, 3))
+    expected = rows(table.frame())
+    bad = load(random.Random(4), spark, 4).withColumn("name", F.when(F.col("price") > 3, F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="lost"):
+        table.merge(bad)
+    assert rows(table.frame()) == expected
+
+
+def test_hot_key_and_no_rows(spark, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), SCHEMA, ["event_id"], buckets=4)
+    assert table.frame().count() == 0 and table.merge(spark.createDataFrame([], SCHEMA)) == []
+    hot = spark.range(5000).select(F.lit("e1").alias("event_id"), F.lit("n").alias("name"), F.col("id").cast("double").alias("price"),
+                                   F.lit("2024-01-01").cast("timestamp").alias("loaded_at"))
+    table.merge(hot.withColumn("extra", F.lit(1)))
+    assert [tuple(r)[:3] for r in table.frame().collect()] == [("e1", "n", 4999.0)]

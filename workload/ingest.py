@@ -8,7 +8,7 @@ from encore import schemas
 from encore.operators.aggregates import count_by, union_distinct
 from encore.operators.joins import union_with_precedence
 from encore.operators.latest import keep_first
-from encore.sources import landed, tables
+from encore.sources import landed, tables, versions
 
 from . import roles
 from .oracle import LOW, text_of
@@ -240,6 +240,18 @@ def view_and_table(t):
     return view.groupBy("o_orderstatus", "y").agg(F.count("o_orderkey").alias("n"))
 
 
+@query("src11_published_version", "select o_orderkey, 'new' as of_version from orders")
+def published_version(t):
+    """Readers see the version published last, whole, while the next one is being written."""
+    root = tables.new_location(t.spark, "set")
+    for name, publish in (("old", True), ("new", True), ("unfinished", False)):
+        folder = versions.new_version(root)
+        t.orders.select("o_orderkey", F.lit(name).alias("of_version")).write.parquet(f"{folder}/orders")
+        if publish:
+            versions.publish(t.spark, root, folder)
+    return tables.scan(t.spark, f"{versions.current(t.spark, root)}/orders", "o_orderkey BIGINT, of_version STRING")
+
+
 @query("src12_reused_result", """
   select 'status' as part, o_orderstatus as value, count(*) as n from orders group by 2
   union all select 'priority', o_orderpriority, count(*) from orders group by 2""")

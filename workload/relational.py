@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 from encore.functions.calendar import DAYS, MONTHS
 from encore.operators import aggregates, filters, joins, ranking
 from encore.operators.checks import failed_run, not_null, repeated_keys, run_checks, unique
+from encore.operators.current import LatestTable
 from encore.operators.latest import first_per_key, latest_per_key
 from encore.operators.lookup import exact_places, geocode
 from encore.operators.scaffold import fill_days
 from encore.plans import marts, reports
+from encore.sources.tables import new_location
 
 from . import roles
 from .analyses import MEAN, built_models
 from .registry import query
+from .tables import SCHEMAS
 
 SEGMENT = "nullif(c_mktsegment, 'HOUSEHOLD')"
 
@@ -297,6 +300,17 @@ def latest(t):
     )
 
 
+@query("win1_latest_kept_up_to_date", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') as shipped from latest")
+def latest_by_merges(t):
+    """Three loads, each with rows older than those merged before."""
+    table = LatestTable(t.spark, new_location(t.spark, "latest"), SCHEMAS["lineitem"], roles.LINE_KEYS, buckets=16,
+                        loaded_at="l_shipdate", tiebreak=roles.LINE_TIES)
+    for i in range(3):
+        table.merge(t.lineitem.where(F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_shipdate"), F.lit(3)) == i))
+    return table.frame().select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
+
+
 @query("win2_first_per_key", """
   select artist_id, artist_name, genre from (select *, row_number() over (partition by artist_id order by artist_name, genre nulls last) as rn
     from stg_events where artist_id is not null) where rn = 1""")
