@@ -30,6 +30,7 @@ from encore.operators.latest import top_per_group
 from encore.operators.ranking import best, by_ordinal, top_k
 from encore.operators.scaffold import fill_days
 
+from . import sketches
 from .star import MEASURES, Star
 
 
@@ -71,13 +72,16 @@ def tours_view(stg_tours: DataFrame) -> DataFrame:
 # Overview ---------------------------------------------------------------------------------
 
 
-def overview(star: Star) -> DataFrame:
+def overview(star: Star, cells: DataFrame | None = None) -> DataFrame:
     """Events, artists, venues and mean price, in one row and one pass over the fact.
 
+    With ``cells`` of ``sketches.daily_cells`` the counts are estimates and only the cells are read.
     Grouping sets reduce the fact to one row per artist key, one per venue key and a
     total before anything is shuffled. The names of both dimensions are joined as one
     table of (kind, key), so that no join key is NULL for half of the rows.
     """
+    if cells is not None:
+        return sketches.merged(cells).select(*sketches.estimates("events", "artists", "venues"), _mean_price().alias("avg_price"))
     artist, venue = star.artists, star.venues
     level = F.grouping_id()
     # names are told apart only, so no dimension is joined row by row: all of them weigh the rows
@@ -331,8 +335,11 @@ def top_venues(star: Star, k: int = 15) -> DataFrame:
     return top.withColumn("label", venue_label("venue_name", "state"))
 
 
-def market_kpis(star: Star, state: str | None = None) -> DataFrame:
-    """Events, venues, artists and mean price per state."""
+def market_kpis(star: Star, state: str | None = None, cells: DataFrame | None = None) -> DataFrame:
+    """Events, venues, artists and mean price per state; from ``cells`` of ``sketches.daily_cells`` estimates."""
+    if cells is not None:
+        rows = sketches.merged(selected(known(cells, "state"), "state", state), "state")
+        return rows.select("state", *sketches.estimates("events", "venues", "artists"), _mean_price().alias("avg_price"))
     star = star.chosen("state", state)
     cells = star.cells("state", "venue_name", "artist_name")
     cells = selected(known(cells, "state"), "state", state)

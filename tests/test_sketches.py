@@ -1,0 +1,93 @@
+"""Sketches per day and state against exact counts and ranks."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from encore.plans import reports, sketches
+from encore.plans.star import Dimension, Star
+from encore.sources.tables import materialise
+
+N, DAYS, HALLS = 120_000, 6, 3_000
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    """Each event twice, a third of all rows by one artist, some without artist, venue, state or price."""
+    i = F.col("id")
+    fact = spark.range(2 * N, numPartitions=4).select(
+        F.concat(F.lit("e"), (i % N).cast("string")).alias("event_id"),
+        F.when(i % 3 == 0, F.lit(0)).when(i % 50 != 1, i % 5000).alias("artist_key"),
+        F.when(i % 40 != 1, i % HALLS).alias("venue_key"),
+        (i % DAYS).alias("date_key"),
+        F.expr("date_add(date'2024-01-01', cast(id % 6 as int))").alias("event_date"),
+        F.when(i % 7 != 0, (i % 1000).cast("decimal(10,2)")).alias("price_avg"),
+    )
+    artists = spark.range(5000).select(F.col("id").alias("artist_key"), F.concat(F.lit("a"), "id").alias("artist_name"), F.lit("rock").alias("genre"))
+    halls = spark.range(HALLS).select(
+        F.col("id").alias("venue_key"), F.concat(F.lit("v"), "id").alias("venue_name"), F.lit("town").alias("city"),
+        F.when(F.col("id") % 4 != 3, F.concat(F.lit("s"), (F.col("id") % 4).cast("string"))).alias("state"))
+    dates = spark.range(DAYS).select(F.col("id").alias("date_key"), F.lit("Monday").alias("day_name"))
+    return Star(fact, Dimension(artists, "artist_key"), Dimension(halls, "venue_key"), Dimension(dates, "date_key"))
+
+
+@pytest.fixture(scope="module")
+def cells(star, tmp_path_factory):
+    return materialise(sketches.daily_cells(star), str(tmp_path_factory.mktemp("cells") / "cells"))
+
+
+def near(estimate, exact):
+    return abs(estimate - exact) <= 1 + 4 * sketches.relative_error() * exact
+
+
+def test_reports_are_within_the_bound(star, cells):
+    exact, got = reports.overview(star).first(), reports.overview(star, cells).first()
+    assert exact.events == N and all(near(got[c], exact[c]) for c in ("events", "artists", "venues"))
+    assert got.avg_price == exact.avg_price
+    states = {r.state: r for r in reports.market_kpis(star).collect()}
+    found = {r.state: r for r in reports.market_kpis(star, cells=cells).collect()}
+    assert set(found) == set(states) == {"s0", "s1", "s2"}
+    for state, row in found.items():
+        assert row.avg_price == states[state].avg_price
+        assert all(near(row[c], states[state][c]) for c in ("events", "artists", "venues"))
+    assert [r.state for r in reports.market_kpis(star, "s1", cells).collect()] == ["s1"]
+
+
+def test_days_merge_in_any_grouping(cells):
+    days = [cells.where(F.dayofmonth("event_date") % 2 == k) for k in (0, 1)]
+    halves = sketches.merged(days[0]).unionByName(sketches.merged(days[1]))
+    once, twice = (sketches.merged(c).select(*sketches.estimates("events"), "price_sum", "price_n").first() for c in (cells, halves))
+    assert tuple(once) == tuple(twice)
+
+
+def test_one_pass_over_the_fact(star, cells):
+    plan = sketches.daily_cells(star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"Range (0, {2 * N}") == 1
+    report = reports.overview(star, cells)._jdf.queryExecution().executedPlan().toString()
+    assert report.count("Scan parquet") == 1 and "Join" not in report and "Range" not in report
+    assert "event_date" not in report.split("ReadSchema")[1]
+
+
+def test_ranks_of_prices(star, cells):
+    exact = sorted(float(r[0]) for r in star.fact.where("price_avg is not null and price_avg > 0").select("price_avg").collect())
+    for row in sketches.price_quantiles(cells, [0.0, 0.1, 0.5, 0.99, 1.0]).collect():
+        below, up_to = (sum(1 for p in exact if p < row.price) / len(exact), sum(1 for p in exact if p <= row.price) / len(exact))
+        assert below - 0.0266 <= row.share <= up_to + 0.0266
+    edges = [0.0, 250.0, 500.0, 999.0]
+    bins = sketches.price_bins(cells, edges).collect()
+    assert [(r.bin, r.bin_low, r.bin_high) for r in bins] == [(1, 0.0, 250.0), (2, 250.0, 500.0), (3, 500.0, 999.0)]
+    for r in bins:
+        assert abs(r.events - sum(1 for p in exact if r.bin_low < p <= r.bin_high)) <= 2 * 0.0266 * len(exact)
+    with pytest.raises(ValueError):
+        sketches.price_bins(cells, [1.0, 1.0])
+
+
+def test_no_events_and_no_prices(spark, star):
+    empty = sketches.daily_cells(Star(star.fact.limit(0), star.artists, star.venues, star.dates))
+    assert empty.count() == 0
+    assert tuple(reports.overview(star, empty).first()) == (0, 0, 0, None)
+    assert sketches.price_quantiles(empty, [0.5]).count() == 0
+    free = Star(star.fact.where("event_id = 'e1'").withColumn("price_avg", F.lit(None).cast("decimal(10,2)")), star.artists, star.venues, star.dates)
+    cells = sketches.daily_cells(free)
+    assert reports.overview(star, cells).first().events == 1 and sketches.price_bins(cells, [0.0, 1.0]).count() == 0

@@ -6,10 +6,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from encore.plans import reports
+from encore.operators import filters
+from encore.plans import reports, sketches
 from encore.plans.build import CHECKS, Models, build
 from encore.plans.star import Star
-from encore.sources.tables import new_location
+from encore.sources.tables import materialise, new_location
 
 from . import roles
 from .registry import query
@@ -485,3 +486,60 @@ def genre_weekdays_marts(t):
 @_on_marts("q21_known_artists_marts", "known")
 def known_artists_marts(t):
     return reports.known_artists(marts_star(t), marts_listeners(t))
+
+
+# Reports from sketches --------------------------------------------------------------------
+
+_cells: dict[tuple[str, str], object] = {}
+
+
+def daily_cells(t):
+    """The sketches of the built marts, written once for each session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _cells:
+        _cells[key] = materialise(sketches.daily_cells(marts_star(t)), f"{new_location(t.spark, 'cells')}/daily_cells")
+    return _cells[key]
+
+
+def _beside(exact, estimated, names, *keys):
+    """The exact counts, and whether each estimate is within four standard errors and a rounding of it."""
+    for name in names:
+        estimated = estimated.withColumnRenamed(name, f"{name}__")
+    both = exact.join(estimated.drop("avg_price"), list(keys)) if keys else exact.withColumn("k", F.lit(1)).join(
+        estimated.drop("avg_price").withColumn("k", F.lit(1)), "k").drop("k")
+    bound = 4 * sketches.relative_error()
+    near = [(F.abs(F.col(f"{n}__") - F.col(n)) <= 1 + bound * F.col(n)).alias(f"{n}_near") for n in names]
+    return both.select(*exact.columns, *near)
+
+
+_NEAR = "true as events_near, true as artists_near, true as venues_near"
+
+
+@query("q2_overview_sketched", on_marts(f"select *, {_NEAR} from ({_STATEMENTS['overview']})"))
+def overview_sketched(t):
+    star, cells = marts_star(t), daily_cells(t)
+    return _beside(reports.overview(star), reports.overview(star, cells), ["events", "artists", "venues"])
+
+
+@query("q17_market_kpis_sketched", on_marts(f"select *, {_NEAR} from ({_STATEMENTS['markets']})"))
+def market_kpis_sketched(t):
+    star, cells = marts_star(t), daily_cells(t)
+    return _beside(reports.market_kpis(star), reports.market_kpis(star, cells=cells), ["events", "artists", "venues"], "state")
+
+
+@query("q17_market_prices_sketched", f"""
+  select state, count(case when price_avg > 0 then 1 end) as price_n, {MEAN} as avg_price, 3 as shares, true as near
+  from mart_frame where state is not null group by state having count(case when price_avg > 0 then 1 end) > 0""")
+def market_prices_sketched(t):
+    """Priced events per state with their quantiles from merged sketches, each within the error of its rank among the exact prices."""
+    cells = filters.known(daily_cells(t), "state")
+    at = sketches.price_quantiles(cells, [0.25, 0.5, 0.75], "state")
+    counts = filters.priced_rows(filters.known(marts_star(t).frame(), "state")).groupBy("state", "price_avg").agg(F.count(F.lit(1)).alias("n"))
+    ranks = counts.join(at, "state").groupBy("state", "share", "price").agg(
+        F.sum(F.when(F.col("price_avg") < F.col("price"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("price_avg") <= F.col("price"), F.col("n")).otherwise(0)).alias("up_to"), F.sum("n").alias("n"))
+    off = F.greatest(F.col("below") - F.col("share") * F.col("n"), F.col("share") * F.col("n") - F.col("up_to"))
+    judged = ranks.groupBy("state").agg(F.count(F.lit(1)).cast("int").alias("shares"), F.every(off <= 1 + 0.0266 * F.col("n")).alias("near"))
+    sums = sketches.merged(cells, "state").select("state", "price_n")
+    means = reports.market_kpis(marts_star(t), cells=cells).select("state", "avg_price")
+    return sums.join(means, "state").join(judged, "state").select("state", "price_n", "avg_price", "shares", "near")
