@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import DAYS, MONTHS
-from encore.operators import aggregates, filters, joins, ranking
+from encore.operators import aggregates, filters, joins, ranking, skew
 from encore.operators.checks import failed_run, not_null, repeated_keys, run_checks, unique
 from encore.operators.current import LatestTable
 from encore.operators.latest import first_per_key, latest_per_key
@@ -125,6 +125,22 @@ def name_fan_out(t):
     return joins.attach_by_name(t.part, brands, "p_name", "n", ["sizes"]).select("p_partkey", "sizes")
 
 
+@query("jn4_full_outer_hot", """
+  select coalesce(l.flag, r.flag) as flag, coalesce(l.linenumber, -1) as linenumber, coalesce(m, -1) as m, count(*) as lines
+  from (select nullif(l_returnflag, 'A') as flag, l_linenumber as linenumber from lineitem) l
+  full join (select nullif(o_orderstatus, 'P') as flag, count(*) as m from orders group by 1
+    union all select 'N', count(*) from orders union all select nullif(l_returnflag, 'R'), count(*) from lineitem group by 1) r
+    on l.flag is not distinct from r.flag group by 1, 2, 3""")
+def full_outer_hot(t):
+    """Three values hold all lines; one of them is missing."""
+    left = t.lineitem.select(F.nullif(F.col("l_returnflag"), F.lit("A")).alias("flag"), F.col("l_linenumber").alias("linenumber"))
+    per = t.orders.groupBy(F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("flag")).agg(F.count(F.lit(1)).alias("m"))
+    every = t.orders.agg(F.count(F.lit(1)).alias("m")).select(F.lit("N").alias("flag"), "m")
+    flags = t.lineitem.groupBy(F.nullif(F.col("l_returnflag"), F.lit("R")).alias("flag")).agg(F.count(F.lit(1)).alias("m"))
+    joined = skew.outer_by_hot_name(left, per.unionByName(every).unionByName(flags), "flag").fillna(-1, ["linenumber", "m"])
+    return joined.groupBy("flag", "linenumber", "m").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query("jn4_full_outer_by_name", f"""
   select coalesce(a.segment, b.segment) as segment, n, coalesce(m, 0) as m
   from (select {SEGMENT} as segment, count(*) as n from customer group by 1) a
