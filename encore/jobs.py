@@ -1,6 +1,6 @@
 """The daily jobs end to end: land, build, check, report.
 
-    python -m encore.jobs ingest --raw RAW --kind events --landed BROAD [TARGETED ...]
+    python -m encore.jobs ingest --raw RAW --kind events --landed BROAD [TARGETED ...] [--batch ID]
     python -m encore.jobs build  --raw RAW --out MARTS [--strict]
     python -m encore.jobs check  --raw RAW --out MARTS
     python -m encore.jobs report --raw RAW --out MARTS --reports REPORTS [--strict]
@@ -26,7 +26,7 @@ from encore.operators.latest import keep_first
 from encore.plans import reports
 from encore.plans.build import Models, build
 from encore.session import session
-from encore.sources import landed, reference, tables
+from encore.sources import landed, ledger, reference, tables
 
 # What lands: document schema, flattener, raw table.
 KINDS = {
@@ -42,19 +42,38 @@ def columns_of(table: str) -> list[str]:
     return [field.split()[0] for field in schemas.RAW_TABLES[table].replace("(38,0)", "").split(",")]
 
 
-def ingest(spark: SparkSession, kind: str, feeds: Sequence[str], raw: str) -> None:
+REJECTED = "rejected_documents"
+REJECTED_COLUMNS = ["source", "landed_file", "landed_block", "document", "reason", "loaded_at"]
+
+
+def append(rows: DataFrame, path: str, columns: Sequence[str], batch: str | None) -> None:
+    """Append a load; one with a batch id only if that is not there yet."""
+    if batch is None:
+        tables.append_rows(rows, path, columns)
+    else:
+        ledger.append_once(rows, path, columns, batch)
+
+
+def ingest(spark: SparkSession, kind: str, feeds: Sequence[str], raw: str, batch: str | None = None) -> None:
     """Append one load. Events and listings are kept once per id: the first feed wins, within
-    a feed the first file, within a file the first document."""
+    a feed the first file, within a file the first document.
+
+    Documents that cannot be read go to the table ``REJECTED`` with their file, text and reason. A load with a ``batch`` id may be
+    repeated, also after it broke half-way: its rows are there once.
+    """
     schema, flatten, table = KINDS[kind]
     docs = landed.union_feeds(*[
-        landed.in_landed_order(landed.read_landed(spark, path, schema)) for path in feeds
+        landed.in_landed_order(landed.read_with_unread(spark, path, schema)) for path in feeds
     ])
+    unread = landed.unread_documents(docs, table)
+    append(unread, f"{raw}/{REJECTED}", REJECTED_COLUMNS, None if batch is None else f"{table} {batch}")
+    docs = landed.read_documents(docs)
     if kind in ("events", "listings"):
         docs = docs.withColumn("id", F.col("id").cast("string"))
         docs = keep_first(docs, "id", ["feed_rank", *landed.POSITION], drop_missing=kind == "events")
     rows = flatten(docs)
     rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schemas.RAW_TABLES[table]) if f.name in rows.columns])
-    tables.append_rows(rows, f"{raw}/{table}", columns_of(table))
+    append(rows, f"{raw}/{table}", columns_of(table), batch)
 
 
 def refresh_tours(spark: SparkSession, raw: str, tours: DataFrame | None = None) -> None:
@@ -72,7 +91,7 @@ def pages_to_read(spark: SparkSession, raw: dict[str, DataFrame], n: int | None
 
 
 def raw_tables(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
-    return {name: tables.scan(spark, f"{raw}/{name}", schema) for name, schema in schemas.RAW_TABLES.items()}
+    return {name: ledger.scan_loads(spark, f"{raw}/{name}", schema) for name, schema in schemas.RAW_TABLES.items()}
 
 
 def declare(spark: SparkSession, raw: str) -> None:
@@ -138,13 +157,14 @@ def main() -> None:
     parser.add_argument("--reports", help="folder of the written reports")
     parser.add_argument("--kind", choices=list(KINDS))
     parser.add_argument("--landed", nargs="+", default=[], help="landed feeds, first one first")
+    parser.add_argument("--batch", help="id of the load: the same load repeated adds nothing")
     parser.add_argument("--strict", action="store_true", help="one row per dimension key")
     parser.add_argument("--keep-days", type=float, help="remove versions of the built tables older than this, but the last two")
     parser.add_argument("--lenient", action="store_true", help="values that cannot be read become NULL")
     args = parser.parse_args()
     spark = session("encore")
     if args.job == "ingest":
-        ingest(spark, args.kind, args.landed, args.raw)
+        ingest(spark, args.kind, args.landed, args.raw, args.batch)
     elif args.job == "tours":
         refresh_tours(spark, args.raw)
     elif args.job == "declare":

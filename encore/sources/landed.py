@@ -6,6 +6,8 @@ gives NULL and keeps the row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from encore.functions.nested import first_of, first_where, joined_names
@@ -17,6 +19,37 @@ def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+#: Column of the text of a landed document that cannot be read as declared.
+UNREAD = "_corrupt_record"
+
+
+def read_with_unread(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Landed documents with their text in ``UNREAD`` where they, or some of their fields, cannot be read."""
+    return read_landed(spark, path, f"{schema}, {UNREAD} STRING")
+
+
+def _nothing_read(docs: DataFrame) -> Column:
+    """Whether no field of a document was read: the text is broken, or is no document."""
+    fields = [F.col(c).isNull() for c in docs.columns if c not in (UNREAD, "feed_rank", *POSITION)]
+    return F.col(UNREAD).isNotNull() & reduce(Column.__and__, fields)
+
+
+def read_documents(docs: DataFrame) -> DataFrame:
+    """The documents of ``read_with_unread`` that are some: one with an unreadable field stays, the field being NULL."""
+    return docs.where(~_nothing_read(docs)).drop(UNREAD)
+
+
+def unread_documents(docs: DataFrame, source: str, loaded_at: Column | None = None) -> DataFrame:
+    """(source, landed_file, landed_block, document, reason, loaded_at) of what could not be read, whole or in part.
+
+    Lines of a feed are the documents read and those whose reason is ``no document``; a document with the reason
+    ``unreadable field`` is among the documents read as well. Empty lines are none. Needs ``in_landed_order``.
+    """
+    reason = F.when(_nothing_read(docs), "no document").otherwise("unreadable field")
+    return docs.where(F.col(UNREAD).isNotNull()).select(
+        F.lit(source).alias("source"), "landed_file", "landed_block", F.col(UNREAD).alias("document"), reason.alias("reason"), _stamp(loaded_at))
+
+
 #: Where a document stands in its feed, in order.
 POSITION = ["landed_file", "landed_block", "landed_row"]
 

@@ -8,7 +8,7 @@ from encore import schemas
 from encore.operators.aggregates import count_by, union_distinct
 from encore.operators.joins import union_with_precedence
 from encore.operators.latest import keep_first
-from encore.sources import landed, tables, versions
+from encore.sources import landed, ledger, tables, versions
 
 from . import roles
 from .oracle import LOW, text_of
@@ -200,6 +200,15 @@ def append_load(t):
     return tables.scan(t.spark, path, LOADED_DDL)
 
 
+@query("src6_repeated_append", "select o_orderkey, o_custkey, o_orderstatus from orders union all select o_orderkey, o_custkey, 'later' from orders")
+def repeated_append(t):
+    """Two loads, the first sent twice."""
+    path = tables.new_location(t.spark, "loads")
+    for batch, load in (("1", t.orders), ("2", t.orders.withColumn("o_orderstatus", F.lit("later"))), ("1", t.orders)):
+        ledger.append_once(load, path, LOADED, batch)
+    return ledger.scan_loads(t.spark, path, LOADED_DDL)
+
+
 @query("src7_full_refresh", "select o_orderkey, o_custkey, o_orderstatus from orders")
 def full_refresh(t):
     path = tables.new_location(t.spark, "refreshed")

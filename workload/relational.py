@@ -12,6 +12,7 @@ from encore.operators.latest import first_per_key, latest_per_key
 from encore.operators.lookup import exact_places, geocode
 from encore.operators.scaffold import fill_days
 from encore.plans import marts, reports
+from encore.plans.layouts import lay_out
 from encore.sources.tables import new_location
 
 from . import roles
@@ -100,6 +101,22 @@ def star_read(t):
     return wide.select("event_id", "artist_name", "genre", "venue_name", "city", "state", "day_name", "month_name")
 
 
+@query("jn2_star_bucketed", """
+  select 'genre' as attribute, genre as value, count(event_id) as events from fact f join dim_artists a on f.artist_key = a.artist_key
+    where genre is not null group by genre
+  union all select 'state', state, count(event_id) from fact f join dim_venues v on f.venue_key = v.venue_key where state is not null group by state
+  union all select 'day_name', day_name, count(event_id) from fact f join dim_dates d on f.date_key = d.date_key where day_name is not null group by day_name""")
+def star_bucketed(t):
+    """Events per attribute of each dimension, from layouts of the fact by its key."""
+    star, result = built_models(t).star(), None
+    for dim, attribute in ((star.artists, "genre"), (star.venues, "state"), (star.dates, "day_name")):
+        layout = lay_out(star.fact, dim, ["event_id"], new_location(t.spark, "layout"), buckets=8, take=[attribute])
+        part = layout.grouped(attribute, {"events": F.count("event_id")}).select(
+            F.lit(attribute).alias("attribute"), F.col(attribute).alias("value"), "events")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 @query("jn3_enrichment_by_name", """
   select artist_key, tm_artist_id, artist_name, genre, spotify_artist_id, spotify_url, monthly_listeners, sg_performer_id, seatgeek_url,
     round(sg_score, 6) as sg_score, sg_popularity, sg_upcoming_events, sg_genres from dim_artists""")
