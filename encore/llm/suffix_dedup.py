@@ -294,7 +294,8 @@ def without_repeats(
     total = rows.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     chunks = max(16, -(-total // chunk_bytes))
     shards = max(16, -(-total // (14 * SHARD_ANCHORS)))
-    chunk = F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("long").alias("chunk")
+    # texts of one id, or of none, never remove from each other and need not meet: the digest spreads them
+    chunk = F.pmod(F.xxhash64("_id", "digest"), F.lit(chunks)).cast("long").alias("chunk")
     # equal texts: only the least id takes part, the others go where they have it in them
     first = source.groupBy(F.sha2("_text", 256).alias("digest")).agg(F.min("_id").alias("_id"))
     # one text column names a represented row: a number that may be missing would come to pandas as a float
