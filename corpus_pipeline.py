@@ -10,6 +10,11 @@ from encore.llm.queries import ORACLES, QUERIES, tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Sorts rows by id, those without one last, then by a digest of the text: 16 hex digits of the id with its sign turned, and 64.
+ROW_ORDER = F.concat(
+    F.coalesce(F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), F.lit("none")),
+    F.sha2(F.coalesce("text", F.lit("")), 256))
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar does not reject."""
@@ -20,12 +25,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints, that of the smallest id.
 
-    Rows without an id cannot be told apart and stay; of rows that repeat an id one stays.
+    Groups decide on texts of rows, not on ids: rows that share an id or have none are told apart by
+    their text, those without an id come last, and rows of one id and one text are one document.
     """
-    groups = simhash.components(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(COLUMNS).union(docs.where("doc_id IS NULL").select(COLUMNS))
+    keyed = docs.withColumn("_key", ROW_ORDER)
+    first = simhash.components(keyed, id="_key").where("_key = component_id").select("_key").distinct()
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +42,10 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
+    """Rows that hold no benchmark item; ids decide nothing."""
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id="_row")
+    return keyed.join(found.select("_row").distinct(), "_row", "left_anti").select(COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
