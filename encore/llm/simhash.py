@@ -4,7 +4,8 @@ The 64 bits are cut into partitions, correlated bits together, and each partitio
 gets a threshold of its own: if the thresholds add up to the distance minus the number
 of partitions plus one, two fingerprints within the distance agree within the
 threshold of at least one partition. Dynamic programming picks the thresholds with
-the fewest estimated candidates; a partition of threshold -1 is not probed. Fingerprints are
+the least estimated work at the number of fingerprints there is, for every number of partitions; the cheapest of these is taken, so that
+more fingerprints get wider keys. A partition of threshold -1 is not probed. Fingerprints are
 indexed by the exact bits of a partition, probed with all variants within its
 threshold, and verified on all bits.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -23,11 +25,13 @@ from pyspark.sql import DataFrame, functions as F
 from .common import checkpointed, small_batches
 from .components import roots
 
-SEED, WORDS, DISTANCE, PARTITIONS = 42, 4, 4, 4
+SEED, WORDS, DISTANCE = 42, 4, 4
 #: Fingerprints that bits' correlations and candidate counts are estimated from, at most.
 SAMPLE = 4_000
 #: Rows of a bucket that meet in one place; larger buckets are compared block by block.
 BLOCK = 4_096
+#: What sending an index or probe row costs, in comparisons of two fingerprints.
+ROW_COST = 200
 #: Shingles whose bits are spread out at once.
 AT_ONCE = 1 << 16
 
@@ -66,7 +70,7 @@ def bits_of(fps: np.ndarray) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), bitorder="little").reshape(-1, 64)
 
 
-def correlated_partitions(sample: np.ndarray, parts: int = PARTITIONS) -> list[list[int]]:
+def correlated_partitions(sample: np.ndarray, parts: int) -> list[list[int]]:
     """Bits in groups of near equal size; each group grows by the bit most correlated with it."""
     if len(sample) < 2:
         return [list(range(p, 64, parts)) for p in range(parts)]
@@ -92,19 +96,19 @@ def keys_of(fps: np.ndarray, bits: Sequence[int]) -> np.ndarray:
     return key
 
 
-def thresholds(sample: np.ndarray, groups: Sequence[Sequence[int]], distance: int = DISTANCE) -> list[int]:
-    """Thresholds that add up to ``distance - partitions + 1`` with the fewest estimated candidates and probes.
+def thresholds(sample: np.ndarray, groups: Sequence[Sequence[int]], distance: int = DISTANCE, rows: int = 1) -> tuple[float, list[int]]:
+    """Least estimated work for each of so many fingerprints, in comparisons, and its thresholds, which add up to ``distance - partitions + 1``.
 
-    The estimate of a partition and threshold is the share of pairs of the sample that
-    agree within it, plus the variants to probe as a share of its keys.
+    A partition and threshold cost the candidates, by the share of pairs of the sample that agree
+    within it and that of random bits, which the sample may be too small to show, and the rows to send for all variants.
     """
     a, b = sample[:1000], sample[-1000:]
     cost = []
     for bits in groups:
         apart = np.bitwise_count(keys_of(a, bits)[:, None] ^ keys_of(b, bits)[None, :]).ravel()
         within = np.cumsum(np.bincount(apart, minlength=65)) / max(1, len(apart))
-        variants = np.cumsum([1.0] + [np.prod([(len(bits) - i) / (i + 1) for i in range(t)]) for t in range(1, distance + 1)])
-        cost.append([0.0] + [within[t] + variants[t] / 2.0 ** len(bits) for t in range(distance + 1)])
+        variants = np.cumsum([float(comb(len(bits), t)) for t in range(distance + 1)])
+        cost.append([0.0] + [rows * (within[t] + variants[t] / 2.0 ** len(bits)) + ROW_COST * variants[t] for t in range(distance + 1)])
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for costs in cost:
         # sums are kept with one added for each partition, so that they are never negative
@@ -115,7 +119,17 @@ def thresholds(sample: np.ndarray, groups: Sequence[Sequence[int]], distance: in
                 if total + t + 1 not in following or option < following[total + t + 1]:
                     following[total + t + 1] = option
         best = following
-    return best[distance + 1][1]
+    return best[distance + 1]
+
+
+def partitions(sample: np.ndarray, rows: int, distance: int = DISTANCE) -> tuple[list[list[int]], list[int]]:
+    """Partitions and thresholds of the least estimated work for so many fingerprints; the fewer partitions of equal ones."""
+    found = []
+    for parts in range(2, max(2, distance + 1) + 1):
+        groups = correlated_partitions(sample, parts)
+        work, limits = thresholds(sample, groups, distance, rows)
+        found.append((work, parts, groups, limits))
+    return min(found)[2:]
 
 
 def variants(width: int, threshold: int) -> list[int]:
@@ -183,7 +197,7 @@ def linked(fps: np.ndarray, exact: np.ndarray, bucket: np.ndarray, distance: int
     return nodes[other], nodes[root[other]]
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTITIONS) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column ``fp``) that connect exactly those within the distance.
 
     Each bucket of equal keys gives at most one link per fingerprint, which joins its members as all
@@ -191,8 +205,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTITIONS) ->
     every two blocks are compared in a place of their own.
     """
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], dtype=np.int64).view(np.uint64)
-    groups = correlated_partitions(sample, parts)
-    limits = thresholds(sample, groups, distance)
+    total = fps.count()
+    groups, limits = partitions(sample, total, distance)
     rows = fps.mapInPandas(entries(groups, limits), "part int, key long, fp long, exact boolean")
     large = rows.groupBy("part", "key").count().where(F.col("count") > BLOCK).select(
         "part", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
@@ -200,7 +214,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTITIONS) ->
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     place = F.xxhash64("part", "key", F.least("own", "other"), F.greatest("own", "other"))
-    shards = max(64, fps.count() // 10_000)
+    shards = max(64, total // 10_000)
 
     def verified(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["place", "exact"], ascending=[True, False], kind="stable")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import subprocess
@@ -97,6 +98,23 @@ def test_nulls_repeated_rows_and_empty_tables(spark):
         assert frame.count() == last
 
 
+def test_ids_that_repeat_or_are_missing_decide_nothing(spark):
+    words = [f"word{i}" for i in range(400)]
+    first, second, third = (" ".join(words[a:a + 100]) for a in (0, 100, 200))
+    item = table(spark, FOLDER, "benchmark").first().text
+    rows = [(1, first), (1, second), (None, third), (None, first), (None, f"{third} {item}"), (1, f"{second} {item}"), (-5, third)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    distinct = corpus_pipeline.without_near_duplicates(spark, docs, FOLDER).collect()
+    fps = [fingerprint_by_hand(t) for _, t in rows]
+    root = components_by_hand(fps, 4)
+    order = lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest())
+    kept = [min((r for r, c in zip(rows, root) if c == one), key=order) for one in dict.fromkeys(root)]
+    assert {(1, first), (1, second), (-5, third)} <= set(kept) and (None, first) not in kept
+    assert sorted([(r.doc_id, r.text) for r in distinct], key=repr) == sorted(kept, key=repr)
+    clean = corpus_pipeline.without_benchmark(spark, docs, FOLDER).collect()
+    assert sorted([(r.doc_id, r.text) for r in clean], key=repr) == sorted([r for r in rows if item not in r[1]], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     db = duckdb.connect()

@@ -48,9 +48,26 @@ def signed(fps):
     return np.array(fps, dtype=np.uint64).view(np.int64).tolist()
 
 
-@pytest.mark.parametrize("block", [s.BLOCK, 8])
-def test_links_connect_what_is_near_and_nothing_else(spark, monkeypatch, block):
+def test_more_fingerprints_get_wider_keys():
+    rng = np.random.default_rng(1)
+    sample = rng.integers(0, 1 << 64, 4000, dtype=np.uint64)
+    widest = []
+    for rows in (10 ** 5, 10 ** 7, 10 ** 9, 10 ** 11):
+        groups, limits = s.partitions(sample, rows)
+        assert sum(limits) == s.DISTANCE - len(groups) + 1
+        work = s.thresholds(sample, groups, s.DISTANCE, rows)[0]
+        widest.append(len(groups[0]))
+        assert all(work <= s.thresholds(sample, s.correlated_partitions(sample, p), s.DISTANCE, rows)[0] for p in range(2, 6))
+        assert rows < 10 ** 9 or work < rows / 10 ** 4
+    assert widest == sorted(widest) and widest[0] < widest[-1]
+
+
+@pytest.mark.parametrize("block,parts", [(s.BLOCK, None), (8, None), (8, 2), (8, 3), (s.BLOCK, 4)])
+def test_links_connect_what_is_near_and_nothing_else(spark, monkeypatch, block, parts):
     monkeypatch.setattr(s, "BLOCK", block)  # small blocks: large buckets are cut
+    if parts:  # as many fingerprints would have
+        groups = lambda sample: s.correlated_partitions(sample, parts)
+        monkeypatch.setattr(s, "partitions", lambda sample, rows, distance: (groups(sample), s.thresholds(sample, groups(sample), distance)[1]))
     fps = near_fingerprints(block)
     frame = spark.createDataFrame([(f,) for f in signed(fps)], "fp long")
     pairs = s.links(frame).collect()
@@ -76,7 +93,7 @@ def test_thresholds_add_up_and_cover_all_near_pairs():
     for parts, distance in ((4, 4), (3, 4), (5, 4), (4, 7)):
         groups = s.correlated_partitions(sample, parts)
         assert sorted(b for g in groups for b in g) == list(range(64))
-        limits = s.thresholds(sample, groups, distance)
+        _, limits = s.thresholds(sample, groups, distance)
         assert sum(limits) == distance - parts + 1 and min(limits) >= -1
 
 
