@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from encore.llm import bpe, decontamination, simhash, suffix_dedup, toxicity
 from encore.llm.common import checkpointed, table
@@ -10,10 +10,11 @@ from encore.llm.queries import ORACLES, QUERIES, tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-#: Sorts rows by id, those without one last, then by a digest of the text: 16 hex digits of the id with its sign turned, and 64.
-ROW_ORDER = F.concat(
-    F.coalesce(F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), F.lit("none")),
-    F.sha2(F.coalesce("text", F.lit("")), 256))
+
+def row_order() -> Column:
+    """Sorts rows by id, those without one last, then by a digest of the text: 16 hex digits of the id with its sign turned, and 64."""
+    id = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.coalesce(id, F.lit("none")), F.sha2(F.coalesce("text", F.lit("")), 256))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Groups decide on texts of rows, not on ids: rows that share an id or have none are told apart by
     their text, those without an id come last, and rows of one id and one text are one document.
     """
-    keyed = docs.withColumn("_key", ROW_ORDER)
+    keyed = docs.withColumn("_key", row_order())
     first = simhash.components(keyed, id="_key").where("_key = component_id").select("_key").distinct()
     return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(COLUMNS)
 
