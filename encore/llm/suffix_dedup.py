@@ -34,7 +34,7 @@ from .common import small_batches
 
 LENGTH, GRAM = 50, 24
 #: Bytes of text in a chunk, about, and anchors in a shard, about.
-CHUNK_BYTES, SHARD_ANCHORS = 4_000_000, 1_500_000
+CHUNK_BYTES, SHARD_ANCHORS = 4_000_000, 1_000_000
 #: Bytes of text that are hashed at once.
 BLOCK_BYTES = 1 << 20
 #: Suffixes in a new batch of a shard, about.
