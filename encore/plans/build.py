@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from encore.operators.checks import Check, not_null, run_checks, unique
 from encore.operators.lookup import geocode
+from encore.session import small_sorts
 from encore.sources import versions
 from encore.sources.tables import materialise
 
@@ -107,6 +108,7 @@ def build(
     until then, and if the build fails. ``keep_for`` removes versions made longer ago, but the last two published.
     Partition the fact, for instance by ``event_date``, where its volume justifies it.
     """
+    small_sorts(raw["raw_ticketmaster_events"].sparkSession)
     root, location = location, versions.new_version(location)
     small = {name: materialise(df, f"{location}/{name}") for name, df in staged(raw, tiebreaks, lenient).items()}
     events = small["stg_ticketmaster_events"]

@@ -23,6 +23,10 @@ from encore.sources.tables import materialise
 from .star import Dimension
 
 
+#: Rows of the fact in a bucket, at most, but for a key's own: one task sorts a bucket when it is written.
+BUCKET_ROWS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Layout:
     """A fact and a dimension with equal buckets of ``key``, and the fact's rows of hot and missing keys with theirs."""
@@ -70,11 +74,12 @@ def lay_out(
 ) -> Layout:
     """Write a layout of the fact's ``columns`` by the key of a dimension, and of the dimension's columns ``take`` (all by default), below ``location``.
 
-    Choose buckets of some 100-200 MB of the fact. The tables are in the session's catalog under names of their own.
+    Choose buckets of some 100-200 MB of the fact; there are more than asked for where they would hold over ``BUCKET_ROWS`` rows. The tables are in the session's catalog under names of their own.
     """
     key, tag = dimension.key, uuid.uuid4().hex
     rows = fact.select(key, *[c for c in columns if c != key])
     dim = dimension.frame if take is None else dimension.frame.select(key, *[c for c in take if c != key])
+    buckets = max(buckets, -(-rows.count() // BUCKET_ROWS))
     hot = among(key, hot_keys(rows, key, buckets))
     apart = hot | F.col(key).isNull()
     names = (f"fact_{key}_{tag}", f"dim_{key}_{tag}")

@@ -81,3 +81,16 @@ def test_no_rows(star, tmp_path):
     layout = lay_out(fact.limit(0), dims["date_key"], ["event_id"], str(tmp_path), buckets=4, take=["day_name"])
     assert layout.attached(["day_name"]).count() == 0 and layout.grouped("day_name", {"n": F.count("event_id")}).count() == 0
     layout.drop()
+
+
+def test_more_rows_get_more_buckets(spark, star, tmp_path, monkeypatch):
+    monkeypatch.setattr("encore.plans.layouts.BUCKET_ROWS", 500)
+    (fact, dims), n = star, N
+    assert n > 4 * 500
+    layout = lay_out(fact, dims["date_key"], ["event_id"], str(tmp_path), buckets=4, take=["day_name"])
+    try:
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {layout.names[0]}").collect()}
+        assert int(described["Num Buckets"]) == -(-n // 500)
+        assert layout.attached(["day_name"]).count() == n
+    finally:
+        layout.drop()

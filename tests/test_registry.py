@@ -86,3 +86,9 @@ def test_reports_aggregate_below_the_joins(spark):
     plan = plan_of(entry.queries()["q3_top_artists"](spark, FOLDER))
     joined = plan.index("artist_name")
     assert "partial_count(1)" in plan and "HashAggregate(keys=[artist_key" in plan[joined:]
+
+
+@pytest.mark.parametrize("name", ["src2_flatten_events", "prj3_staging_events", "prj6_staging_listings"])
+def test_lines_are_not_shuffled_to_their_places(spark, name):
+    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    assert "hashpartitioning(l_suppkey" not in plan and "hashpartitioning(s_nationkey" not in plan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from encore import schemas
 from encore.operators.latest import keep_first
+from encore.session import small_sorts
 from encore.sources import landed, reference, tables
 
 
@@ -144,3 +145,22 @@ def test_reference_rows(spark):
     assert reference.city_coordinates(spark).count() == 68
     assert reference.curated_artists(spark).count() == 30
     assert reference.tours(spark).agg(F.sum("gross_revenue")).collect()[0][0] == sum(t[2] for t in reference.TOURS)
+
+
+def test_bytes_per_task_are_only_lowered(spark):
+    names = {"spark.sql.files.maxPartitionBytes": ("134217728b", str(32 << 20), "8MB"), "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("64m", str(16 << 20), "1m")}
+    old = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, (high, most, low) in names.items():
+            for value, expected in ((high, most), (low, low)):
+                spark.conf.set(name, value)
+                small_sorts(spark)
+                assert spark.conf.get(name) == expected
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
+def test_models_are_written_with_zstd(spark, tmp_path):
+    tables.materialise(spark.range(3), str(tmp_path / "z")).collect()
+    assert all(".zstd." in p.name for p in (tmp_path / "z").glob("*.parquet"))

@@ -8,6 +8,7 @@ from encore import schemas
 from encore.operators.aggregates import count_by, union_distinct
 from encore.operators.joins import union_with_precedence
 from encore.operators.latest import keep_first
+from encore.session import small_sorts
 from encore.sources import landed, ledger, tables, versions
 
 from . import roles
@@ -150,6 +151,7 @@ FIRST_LISTING = """
     l_quantity as average_price, l_extendedprice as highest_price, l_partkey as listing_count, l_tax as event_popularity,
     l_discount as event_score from ({FIRST_LISTING})""")
 def flatten_listings(t):
+    small_sorts(t.spark)
     first = keep_first(
         landed.parse_landed(listing_documents(t), "document", schemas.LISTING_DOC).withColumn("id", F.col("id").cast("string")),
         "id", ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], drop_missing=False,
@@ -325,6 +327,7 @@ def precedence(t):
   select * replace (cast(event_date as varchar) as event_date, cast(price_min as double) as price_min,
     cast(price_max as double) as price_max, {text_of('loaded_at')} as loaded_at) from stg_events""")
 def staging_events(t):
+    small_sorts(t.spark)
     staged = roles.stg_events(t).withColumn("event_date", F.col("event_date").cast("string"))
     return stamps_as_text(doubles(staged, "price_min", "price_max"))
 

@@ -87,15 +87,21 @@ def messy_artist() -> Column:
 # Raw tables -------------------------------------------------------------------------------
 
 
-def messy_venues(t: Tables) -> DataFrame:
-    """Venue texts, spelled per venue and not per event."""
-    venues = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    venues = venues.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return venues.select(
-        "s_suppkey",
-        F.lower("s_name").alias("venue_name"),
-        F.lower("n_name").alias("city"),
-        F.concat(F.lower("r_name"), F.lit(" ")).alias("state"),
+def with_places(lines: DataFrame, suppliers: DataFrame, nations: DataFrame, regions: DataFrame) -> DataFrame:
+    """Lines with supplier, nation and region, joined one by one: Spark knows the sizes of these tables, while it takes a join of
+    them for the product of their sizes and would shuffle the lines."""
+    lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    lines = lines.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    return lines.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
+
+def with_messy_venues(lines: DataFrame, t: Tables) -> DataFrame:
+    """Lines with venue texts, spelled per venue, city and state and not per event."""
+    return with_places(
+        lines,
+        t.supplier.select("s_suppkey", "s_nationkey", F.lower("s_name").alias("venue_name")),
+        t.nation.select("n_nationkey", "n_regionkey", F.lower("n_name").alias("city")),
+        t.region.select("r_regionkey", F.concat(F.lower("r_name"), F.lit(" ")).alias("state")),
     )
 
 
@@ -109,10 +115,7 @@ def messy_artists(t: Tables) -> DataFrame:
 
 
 def places_of_lines(t: Tables) -> DataFrame:
-    """Lines with supplier, nation and region."""
-    venues = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    venues = venues.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return t.lineitem.join(venues, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return with_places(t.lineitem, t.supplier, t.nation, t.region)
 
 
 def raw_artist_names(t: Tables) -> DataFrame:
@@ -126,9 +129,8 @@ def raw_artist_names(t: Tables) -> DataFrame:
 def raw_events(t: Tables) -> DataFrame:
     owners = t.orders.select("o_orderkey", F.lower("o_orderstatus").alias("status"), artist_id().alias("artist_id"))
     owners = owners.join(messy_artists(t), F.col("artist_id") == F.col("c_custkey"), "left")
-    lines = t.lineitem.join(messy_venues(t), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    lines = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return lines.select(
+    lines = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return with_messy_venues(lines, t).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         F.concat(F.lit(" show "), F.lpad(F.col("l_partkey").cast("string"), 12, "0"), F.lit(" ")).alias("event_name"),
         F.concat(F.lit("https://events.example.com/"), "l_orderkey", F.lit("/"), "l_linenumber", F.lit(" ")).alias("event_url"),
@@ -187,8 +189,7 @@ def raw_performers(t: Tables) -> DataFrame:
 
 def raw_listings(t: Tables) -> DataFrame:
     """Lines of an order are the readings of one listing."""
-    lines = t.lineitem.join(messy_venues(t), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return lines.select(
+    return with_messy_venues(t.lineitem, t).select(
         F.col("l_orderkey").cast("string").alias("event_id"),
         F.concat(F.lit(" listing "), "l_orderkey").alias("event_title"),
         F.concat(F.lit("https://tickets.example.com/e/"), "l_linenumber").alias("event_url"),
