@@ -11,11 +11,15 @@ the key first (``plans.star``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from encore.functions.text import name_key, same_name
+from encore.operators.filters import known
+
+#: Rows of ids that a dimension lacks or repeats that are broadcast, at most.
+EXCEPTIONS = 1_000_000
 
 
 def attach(facts: DataFrame, dim: DataFrame, on: dict[str, str], take: Sequence[str]) -> DataFrame:
@@ -32,6 +36,30 @@ def attach(facts: DataFrame, dim: DataFrame, on: dict[str, str], take: Sequence[
     return facts.join(wanted, condition, "left").drop(*[f"__{r}" for r in on.values()])
 
 
+def attach_key(
+    facts: DataFrame, dim: DataFrame, on: tuple[str, str], key: str, made: Callable[[str], Column],
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """``attach`` of a dimension's key that is ``made`` from the id it is joined on, without moving the facts.
+
+    The key follows from the facts' own id. Looked up are only ids that the dimension lacks, which get no key, and
+    those it repeats, which repeat the fact: one shuffle of distinct ids instead of all columns of the facts. They are counted and
+    broadcast; over ``EXCEPTIONS`` rows of them the join is ``attach``. ``keep`` may store them, as they are read twice.
+    """
+    own, natural = on
+    times = known(dim, natural).groupBy(F.col(natural).alias("__natural")).agg(F.count(F.lit(1)).alias("__times"))
+    used = known(facts, own).select(F.col(own).alias("__id")).distinct()
+    looked_up = used.join(times, F.col("__id") == F.col("__natural"), "left")
+    other = keep(looked_up.where(F.coalesce("__times", F.lit(0)) != 1).select("__id", "__times"))
+    copies = F.greatest(F.coalesce("__times", F.lit(1)), F.lit(1))
+    if (other.agg(F.sum(copies)).first()[0] or 0) > EXCEPTIONS:
+        return attach(facts, dim, {own: natural}, [key])
+    other = other.select("__id", F.col("__times").isNull().alias("__lacking"), F.explode(F.sequence(F.lit(1), copies)).alias("__copy"))
+    joined = facts.join(F.broadcast(other.drop("__copy")), facts[own] == other["__id"], "left")
+    has = F.col(own).isNotNull() & ~F.coalesce("__lacking", F.lit(False))
+    return joined.withColumn(key, F.when(has, made(own))).drop("__id", "__lacking")
+
+
 def attach_by_name(
     left: DataFrame, right: DataFrame, left_name: str, right_name: str, take: Sequence[str]
 ) -> DataFrame:

@@ -116,7 +116,8 @@ def build(
     artists = materialise(marts.dim_artists(events, listeners, performers, strict), f"{location}/dim_artists")
     venues = materialise(marts.dim_venues(events, strict), f"{location}/dim_venues")
     dates = materialise(marts.dim_dates(events), f"{location}/dim_dates")
-    fact = materialise(marts.fact_events(events, artists, venues, dates), f"{location}/fact_events", partition_fact_by)
+    fact = marts.fact_events(events, artists, venues, dates, lambda df, name: materialise(df, f"{location}/{name}"))
+    fact = materialise(fact, f"{location}/fact_events", partition_fact_by)
     spark = fact.sparkSession
     versions.publish(spark, root, location)
     if keep_for is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from encore.functions import calendar as cal
@@ -9,7 +11,7 @@ from encore.functions.keys import surrogate_key
 from encore.functions.money import midpoint
 from encore.operators.aggregates import distinct_rows
 from encore.operators.filters import known
-from encore.operators.joins import attach, attach_by_name
+from encore.operators.joins import attach, attach_by_name, attach_key
 from encore.operators.latest import first_per_key, latest_per_key
 
 
@@ -84,13 +86,19 @@ def dim_dates(events: DataFrame) -> DataFrame:
     )
 
 
-def fact_events(events: DataFrame, artists: DataFrame, venues: DataFrame, dates: DataFrame) -> DataFrame:
+def fact_events(
+    events: DataFrame, artists: DataFrame, venues: DataFrame, dates: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """One row per staged event with the keys of its dimensions, NULL where there is none.
 
-    ``events`` is already unique per event id, so it is not deduplicated again.
+    ``events`` is already unique per event id, so it is not deduplicated again. Artist and venue keys are made from the
+    event's ids as the dimensions make theirs; ``keep`` may store a small table under a name.
     """
-    keyed = attach(events, artists, {"artist_id": "tm_artist_id"}, ["artist_key"])
-    keyed = attach(keyed, venues, {"venue_id": "venue_id"}, ["venue_key"])
+    def stored(name: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda df: df if keep is None else keep(df, name)
+
+    keyed = attach_key(events, artists, ("artist_id", "tm_artist_id"), "artist_key", surrogate_key, stored("other_artists"))
+    keyed = attach_key(keyed, venues, ("venue_id", "venue_id"), "venue_key", surrogate_key, stored("other_venues"))
     keyed = attach(keyed, dates, {"event_date": "event_date"}, ["date_key"])
     return keyed.select(
         surrogate_key("event_id").alias("event_key"),

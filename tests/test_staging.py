@@ -7,7 +7,10 @@ import pytest
 from pyspark.errors import PySparkException
 
 from encore import schemas
+from encore.functions.keys import surrogate_key
+from encore.operators import joins
 from encore.plans import marts, staging
+from encore.sources.tables import materialise
 
 NOW = datetime.datetime(2024, 1, 1)
 
@@ -78,3 +81,33 @@ def test_events_without_artist_venue_or_date_stay_in_the_fact(spark):
     assert fact["e3"].artist_key is None
     d = dates.collect()[0]
     assert (d.day_of_week, d.day_name, d.month_name, d.quarter, d.is_weekend) == (6, "Saturday", "Jan", 1, True)
+
+
+def test_fact_is_not_shuffled_for_its_keys(spark, tmp_path):
+    """Only ids that a dimension lacks or repeats are joined, whatever the size of the dimension."""
+    events = staging.stg_ticketmaster_events(raw_events(spark, *[
+        {"event_id": f"e{i}", "artist_id": f"a{i % 3}", "artist_name": "x", "venue_id": "v", "venue_name": "h", "loaded_at": NOW} for i in range(9)]))
+    events, spelled = materialise(events, str(tmp_path / "events")), ["venue_key", "venue_id", "venue_name"]
+    artists = spark.createDataFrame([(f"key{i}", f"a{i}") for i in (0, 1)], "artist_key STRING, tm_artist_id STRING")
+    venues = spark.createDataFrame([("kv", "v", "h"), ("kv", "v", "H")], spelled)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = marts.fact_events(events, artists, venues, marts.dim_dates(events), lambda df, name: materialise(df, str(tmp_path / name)))
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(artist_id" not in plan and "hashpartitioning(venue_id" not in plan
+    assert fact.where("artist_key IS NULL").count() == 2 * 3 and fact.count() == 2 * 9
+    assert fact.select("venue_key").distinct().count() == 1
+
+
+@pytest.mark.parametrize("most", [joins.EXCEPTIONS, 2])
+def test_keys_made_from_ids_are_those_of_the_join(spark, rows, monkeypatch, most):
+    monkeypatch.setattr(joins, "EXCEPTIONS", most)
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, None), (6, "d"), (7, "")], "n INT, id STRING")
+    dim = spark.createDataFrame([("a",), ("b",), ("b",), ("d",), ("d",), ("d",), (None,), ("unused",), ("unused",)], "id STRING")
+    dim = dim.select("id", surrogate_key("id").alias("k"))
+    made = joins.attach_key(facts, dim, ("id", "id"), "k", surrogate_key)
+    assert rows(made) == rows(joins.attach(facts, dim, {"id": "id"}, ["k"])) and made.count() == 1 + 4 + 1 + 1 + 3 + 1
+    none = joins.attach_key(facts, dim.limit(0), ("id", "id"), "k", surrogate_key)
+    assert none.count() == 7 and none.where("k IS NOT NULL").count() == 0
