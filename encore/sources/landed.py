@@ -6,6 +6,7 @@ gives NULL and keeps the row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -127,10 +128,14 @@ def flatten_performers(docs: DataFrame, loaded_at: Column | None = None) -> Data
     )
 
 
-def flatten_listings(docs: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Listing documents -> rows of raw_seatgeek_events (one per document; see ``keep_first``)."""
+def flatten_listings(docs: DataFrame, loaded_at: Column | None = None, beside: Sequence[str] = ()) -> DataFrame:
+    """Listing documents -> rows of raw_seatgeek_events (one per document; see ``keep_first``).
+
+    Columns named ``beside`` are kept. Flat rows take less memory than documents, so choose among them once they are flat.
+    """
     performer = first_where("performers", lambda p: p["primary"])
     return docs.select(
+        *beside,
         F.col("id").cast("string").alias("event_id"),
         F.col("title").alias("event_title"),
         F.col("url").alias("event_url"),

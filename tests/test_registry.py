@@ -92,3 +92,11 @@ def test_reports_aggregate_below_the_joins(spark):
 def test_lines_are_not_shuffled_to_their_places(spark, name):
     plan = plan_of(entry.queries()[name](spark, FOLDER))
     assert "hashpartitioning(l_suppkey" not in plan and "hashpartitioning(s_nationkey" not in plan
+
+
+def test_listings_are_flat_before_they_are_chosen(spark):
+    """Documents with their lists are not sorted and shuffled, only the rows made from them."""
+    plan = plan_of(entry.queries()["src4_flatten_listings"](spark, FOLDER))
+    above, below = plan.split("Exchange hashpartitioning(event_id", 1)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+    assert "performers" not in above and "from_json" not in above

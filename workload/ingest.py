@@ -152,11 +152,10 @@ FIRST_LISTING = """
     l_discount as event_score from ({FIRST_LISTING})""")
 def flatten_listings(t):
     small_sorts(t.spark)
-    first = keep_first(
-        landed.parse_landed(listing_documents(t), "document", schemas.LISTING_DOC).withColumn("id", F.col("id").cast("string")),
-        "id", ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], drop_missing=False,
-    )
-    return landed.flatten_listings(first).drop("loaded_at")
+    order = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
+    docs = landed.parse_landed(listing_documents(t), "document", schemas.LISTING_DOC)
+    flat = landed.flatten_listings(docs, beside=order).drop("loaded_at")
+    return keep_first(flat, "event_id", order, drop_missing=False).drop(*order)
 
 
 def page_documents(t):
