@@ -68,9 +68,14 @@ def in_landed_order(docs: DataFrame) -> DataFrame:
 
 
 def parse_landed(df: DataFrame, text: str, schema: str) -> DataFrame:
-    """Documents held as text in a column; other columns are kept."""
+    """Documents held as text in a column; other columns are kept.
+
+    ``from_json`` is interpreted, and so is all that Spark merges into it. The text is named twice, which Spark merges only
+    where it is cheap: a text that is computed stays in generated code.
+    """
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.from_json(text, schema).alias("__doc")).select(*others, "__doc.*")
+    doc = F.when(F.col(text).isNotNull(), F.from_json(text, schema))
+    return df.select(*others, doc.alias("__doc")).select(*others, "__doc.*")
 
 
 def union_feeds(*feeds: DataFrame, rank: str = "feed_rank") -> DataFrame:

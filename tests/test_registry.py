@@ -100,3 +100,12 @@ def test_listings_are_flat_before_they_are_chosen(spark):
     above, below = plan.split("Exchange hashpartitioning(event_id", 1)
     assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
     assert "performers" not in above and "from_json" not in above
+
+
+@pytest.mark.parametrize("name", ["src2_flatten_events", "src3_flatten_performers", "src4_flatten_listings"])
+def test_documents_are_not_made_by_interpreted_expressions(spark, name):
+    """``from_json`` is interpreted with all that is merged into it, so the text it reads is made one step below."""
+    steps = plan_of(entry.queries()[name](spark, FOLDER)).split("\n")
+    [parses] = [i for i, step in enumerate(steps) if "from_json(" in step]
+    [writes] = [i for i, step in enumerate(steps) if "StructsToJsonEvaluator" in step]
+    assert parses < writes

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore import schemas
 from encore.operators.latest import keep_first
-from encore.session import small_sorts
+from encore.session import READS_PER_CORE, small_reads, small_sorts
 from encore.sources import landed, reference, tables
 
 
@@ -164,3 +164,30 @@ def test_bytes_per_task_are_only_lowered(spark):
 def test_models_are_written_with_zstd(spark, tmp_path):
     tables.materialise(spark.range(3), str(tmp_path / "z")).collect()
     assert all(".zstd." in p.name for p in (tmp_path / "z").glob("*.parquet"))
+
+
+def test_scans_have_some_tasks_a_core(spark, tmp_path):
+    """Unless the session says how many; Spark alone makes one task a core of a table that fits them."""
+    name, path = "spark.sql.files.minPartitionNum", str(tmp_path / "t")
+    cores, opened = spark.sparkContext.defaultParallelism, "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name, None)
+    spark.range(100 * cores, numPartitions=4 * cores).write.parquet(path)
+    try:
+        spark.conf.set(opened, "1")
+        spark.conf.unset(name)
+        assert spark.read.parquet(path).rdd.getNumPartitions() < 2 * cores
+        small_reads(spark)
+        assert spark.read.parquet(path).rdd.getNumPartitions() >= READS_PER_CORE * cores
+        spark.conf.set(name, "2")
+        small_reads(spark)
+        assert spark.conf.get(name) == "2"
+    finally:
+        spark.conf.unset(opened)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_missing_and_broken_documents_are_parsed_as_before(spark):
+    texts = spark.createDataFrame([(1, '{"id": "a"}'), (2, None), (3, ""), (4, "{"), (5, "null"), (6, "[]")], "n INT, document STRING")
+    got = landed.parse_landed(texts, "document", "id STRING")
+    alone = texts.select("n", F.from_json("document", "id STRING").alias("d")).select("n", "d.*")
+    assert got.columns == ["n", "id"] and sorted(got.collect()) == sorted(alone.collect())

@@ -8,7 +8,7 @@ from encore import schemas
 from encore.operators.aggregates import count_by, union_distinct
 from encore.operators.joins import union_with_precedence
 from encore.operators.latest import keep_first
-from encore.session import small_sorts
+from encore.session import small_reads, small_sorts
 from encore.sources import landed, ledger, tables, versions
 
 from . import roles
@@ -82,6 +82,7 @@ def event_documents(t):
     case when l_returnflag <> 'N' then l_extendedprice end as price_max, case when l_returnflag <> 'N' then 'USD' end as currency,
     case when l_linestatus = 'F' then l_linestatus end as genre from lines""")
 def flatten_events(t):
+    small_reads(t.spark)
     return landed.flatten_events(landed.parse_landed(event_documents(t), "document", schemas.EVENT_DOC)).drop("loaded_at")
 
 
