@@ -22,6 +22,17 @@ WHITESPACE = (
 _MARK = "\ufdd0"
 
 
+def mark_words(c, breaks: str) -> Column:
+    """Put a marked space after every break (spaces apart) that a cased character may follow.
+
+    Before a digit, a space, the end or another break without case nothing can be
+    capitalised, so most codes and numbers in names are not rewritten.
+    """
+    starts = "".join(re.escape(b) for b in breaks) + "\\t\\n\\x0B\\f\\r"
+    caseless = "".join(re.escape(b) for b in breaks if b.lower() == b.upper()) + "\\t\\n\\x0B\\f\\r0-9 "
+    return F.regexp_replace(as_column(c), f"[{starts}](?=[^{caseless}])", "$0" + _MARK + " ")
+
+
 def title_case(c, breaks: str = WORD_BREAKS) -> Column:
     """Capitalise every word and lower-case the rest.
 
@@ -34,9 +45,7 @@ def title_case(c, breaks: str = WORD_BREAKS) -> Column:
     others = breaks.replace(" ", "")
     if not others:
         return F.initcap(c)
-    pattern = "([" + "".join(re.escape(b) for b in others) + "\\t\\n\\x0B\\f\\r])"
-    marked = F.regexp_replace(c, pattern, "$1" + _MARK + " ")
-    return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
+    return F.replace(F.initcap(mark_words(c, others)), F.lit(_MARK + " "), F.lit(""))
 
 
 def clean_name(c, breaks: str = WORD_BREAKS) -> Column:

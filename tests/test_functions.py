@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,26 @@ def test_title_case_letter_by_letter(spark):
         assert got == by_letters(s, breaks), repr(s)
 
 
+def test_only_breaks_before_cased_characters_are_marked(spark):
+    marked = text.mark_words("c", text.WORD_BREAKS)
+    for plain in ("hall #000000012", "nation_11", "a. b", "wait...", "4-1/2", "c:\t9"):
+        assert one(spark, marked, c=plain) == plain
+    assert one(spark, marked, c="jay-z.9..o") == "jay-\ufdd0 z.9..\ufdd0 o"
+    assert one(spark, text.mark_words("c", "-x"), c="a-x-b") == "a-\ufdd0 x-\ufdd0 b"  # a break with case is capitalised itself
+
+
+def test_title_case_equals_marking_every_break(spark):
+    """Also where casing looks at the characters around (final sigma), and for breaks that are letters."""
+    rng = random.Random(11)
+    letters = "aZ09 \t\n.-_#^:'\u00b7\u00df\u03a3\u03c3\u03c2\u0130i\u0131\u0149\u01c6\u01c5\u2167\u24d0\u0345\u0307\u00ad\u0663\U00010428\u0301\u2028"
+    samples = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 7))) for _ in range(3000)]
+    df = spark.createDataFrame([(s,) for s in samples], "c STRING").repartition(4)
+    for breaks in (text.WORD_BREAKS, "-Z\u03a3\u01c6"):
+        every = F.regexp_replace("c", "([" + "".join(re.escape(b) for b in breaks) + "\\t\\n\\x0B\\f\\r])", "$1\ufdd0 ")
+        plain = F.replace(F.initcap(every), F.lit("\ufdd0 "), F.lit(""))
+        assert df.where(~plain.eqNullSafe(text.title_case("c", breaks))).collect() == []
+
+
 def test_strip_and_name_key(spark):
     for space in text.WHITESPACE:
         assert space.isspace()
