@@ -196,3 +196,57 @@ def test_template_of_a_host_of_long_pages(spark):
         f"<body><div>{''.join(f'<p>told {i} {j}</p>' for j in range(h.REFERENCE_BLOCKS + 20))}<div class=sign>Write to us</div></div>" for i in range(5)])
     assert not any("Write to us" in t for t in texts)
     assert all(t.count("told") == h.REFERENCE_BLOCKS + 20 for t in texts)
+
+
+def test_matching_of_long_lists_is_the_heaviest(monkeypatch):
+    rng = random.Random(6)
+    trees = [random_tree(rng, 3) for _ in range(60)]
+    monkeypatch.setattr(h, "SIBLING_PAIRS", 0)
+    monkeypatch.setattr(h, "WEIGHTS_AT_ONCE", 5)
+    for a, b in zip(trees, trees[1:]):
+        weight, pairs = h.Matching().siblings(a, b)
+        assert weight == heaviest(a, b) == sum(h.Matching().weight(x, y) for x, y in pairs)
+        blocks = list(h.Matching().blocks(a, b))
+        assert blocks == sorted(blocks) and [x[1] for x in blocks] == sorted({x[1] for x in blocks})
+
+
+def test_a_repeated_notice_among_many_siblings_is_template(spark):
+    notice = "<p>Write to us.</p>"
+
+    def page(i):
+        own = [f"<p>told {i} {j}</p>" for j in range(60 + i)]
+        return "<article>%s</article>" % "".join([*own[:10 + 3 * i], notice, *own[10 + 3 * i:40 + i], notice, *own[40 + i:]])
+
+    for i, text in enumerate(texts_of(spark, [page(i) for i in range(6)])):
+        assert text.split("\n\n") == [f"told {i} {j}" for j in range(60 + i)]
+
+
+def test_template_that_the_pages_of_least_digest_show_elsewhere(spark):
+    def page(i, sign):
+        own = f"<h1>Title {i}</h1><p>{f'told {i} ' * 9}</p>"
+        return f"<body><div>{own}{'<div class=sign>Write to us</div>' if sign else '<p>They said:</p><blockquote>Write to us</blockquote>'}</div>"
+
+    rows = [(i, "http://h.org/", page(i, i < 18)) for i in range(118)]
+    digest = {r.k0: r.digest for r in h.read_pages(spark.createDataFrame(rows, SCHEMA), "url", "html", ["page_id"]).collect()}
+    elsewhere = sorted(range(18, 118), key=digest.get)[:2]
+    assert max(digest[i] for i in elsewhere) < min(digest[i] for i in range(18))
+    texts = texts_of(spark, [rows[i][2] for i in [*range(18), *elsewhere]])
+    assert not any("Write to us" in t for t in texts[:18]) and all(t.endswith("Write to us") for t in texts[18:])
+
+
+def test_every_page_is_aligned_with_every_wrapper_page(monkeypatch):
+    aligned, blocks = [], h.Matching.blocks
+    monkeypatch.setattr(h.Matching, "blocks", lambda self, a, b: aligned.append((a, b)) or blocks(self, a, b))
+    page = [0, 5], [-1, 0], [0, 1], [1, 2]
+    other = [0, 5], [-1, 0], [0, 1], [3, 4]
+    known = [(h.tree(*p), {0, 1}) for p in (page, other)]
+    assert list(h._shown(known, *other)) == [[], [(0, 0), (1, 1)]] and len(aligned) == 2
+
+
+def test_very_deep_pages(spark):
+    def page(i):
+        return "<div><b>Our site</b>" + "<div>" * 3000 + f"<p>{f'told {i} ' * 9}</p><div class=sign><p>Write to us</p></div>" + "<p>more " * (i % 3)
+
+    assert len(h.page_of(page(0))[0]) == 3005
+    for i, text in enumerate(texts_of(spark, [page(i) for i in range(6)])):
+        assert text == "\n\n".join([f"told {i} " * 8 + f"told {i}"] + ["more"] * (i % 3))
