@@ -1,6 +1,6 @@
 """Joins on natural keys and on names.
 
-No side is ever forced to broadcast: table sizes grow with the data, so Spark
+No side is forced to broadcast unless its rows were counted: table sizes grow with the data, so Spark
 picks a broadcast only when the measured size is under its threshold
 (``spark.sql.autoBroadcastJoinThreshold``, at planning time from file sizes and
 at run time from shuffle sizes) and shuffles, splitting skewed partitions,
@@ -22,18 +22,18 @@ from encore.operators.filters import known
 EXCEPTIONS = 1_000_000
 
 
-def attach(facts: DataFrame, dim: DataFrame, on: dict[str, str], take: Sequence[str]) -> DataFrame:
+def attach(facts: DataFrame, dim: DataFrame, on: dict[str, str], take: Sequence[str], few: bool = False) -> DataFrame:
     """Left equi-join that adds columns of a dimension; NULL keys match nothing.
 
     ``on`` maps columns of the facts to columns of the dimension. A key that
-    repeats in the dimension repeats the fact.
+    repeats in the dimension repeats the fact. ``few`` tells that the dimension's rows were counted and can be broadcast.
     """
     wanted = dim.select(
         *[F.col(right).alias(f"__{right}") for right in on.values()],
         *[F.col(c) for c in take],
     )
     condition = [facts[left] == wanted[f"__{right}"] for left, right in on.items()]
-    return facts.join(wanted, condition, "left").drop(*[f"__{r}" for r in on.values()])
+    return facts.join(F.broadcast(wanted) if few else wanted, condition, "left").drop(*[f"__{r}" for r in on.values()])
 
 
 def attach_key(

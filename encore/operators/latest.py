@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
-_RANK = "__rank"
+from encore.functions.text import pack_texts, packed_parts, unpack_texts
+
+_RANK, _PACKED = "__rank", "__packed"
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -26,18 +29,27 @@ def latest_per_key(
     keys: Sequence[str],
     loaded_at: str = "loaded_at",
     tiebreak: Sequence[str | Column] | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """The most recently loaded row of every key.
 
     A missing load time sorts first, as descending order does in the warehouse.
     Rows loaded at the same instant are told apart by ``tiebreak``, by default
-    all other columns, so the result is the same on every run.
+    all other columns, so the result is the same on every run. ``whole`` tells that all columns are used after: texts
+    that decide nothing are then sorted and shuffled as one.
     """
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in keys and c != loaded_at]
     order = [F.col(loaded_at).desc_nulls_first()]
     order += [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in tiebreak]
-    return top_per_group(df, keys, order, 1)
+    decide = {*keys, loaded_at, *[c for c in tiebreak if isinstance(c, str)]}
+    carried = [f.name for f in df.schema if f.name not in decide and f.dataType == StringType()]
+    if not whole or len(carried) < 2 or not all(isinstance(c, str) for c in tiebreak):
+        return top_per_group(df, keys, order, 1)
+    packed = df.select(*[c for c in df.columns if c not in carried], pack_texts(carried).alias(_PACKED))
+    best = top_per_group(packed, keys, order, 1).withColumn(_PACKED, packed_parts(_PACKED))
+    texts = dict(zip(carried, unpack_texts(F.col(_PACKED), carried)))
+    return best.select(*[texts.get(c, c) for c in df.columns])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -81,14 +81,14 @@ def staged(
     """The staging models; ``lenient`` makes values that cannot be read NULL instead of failing the run."""
     ties = tiebreaks or {}
 
-    def latest(model, table: str) -> DataFrame:
-        return model(raw[table], ties.get(table), lenient)
+    def latest(model, table: str, **more) -> DataFrame:
+        return model(raw[table], ties.get(table), lenient, **more)
 
     return {
-        "stg_ticketmaster_events": latest(staging.stg_ticketmaster_events, "raw_ticketmaster_events"),
+        "stg_ticketmaster_events": latest(staging.stg_ticketmaster_events, "raw_ticketmaster_events", whole=True),
         "stg_spotify_artists": latest(staging.stg_spotify_artists, "raw_spotify_artists"),
         "stg_seatgeek_performers": latest(staging.stg_seatgeek_performers, "raw_seatgeek_performers"),
-        "stg_seatgeek_events": latest(staging.stg_seatgeek_events, "raw_seatgeek_events"),
+        "stg_seatgeek_events": latest(staging.stg_seatgeek_events, "raw_seatgeek_events", whole=True),
         "stg_tour_revenue": staging.stg_tour_revenue(raw["raw_tour_revenue"], lenient),
     }
 

@@ -340,19 +340,20 @@ def market_kpis(star: Star, state: str | None = None, cells: DataFrame | None =
     if cells is not None:
         rows = sketches.merged(selected(known(cells, "state"), "state", state), "state")
         return rows.select("state", *sketches.estimates("events", "venues", "artists"), _mean_price().alias("avg_price"))
-    star = star.chosen("state", state)
-    cells = star.cells("state", "venue_name", "artist_name")
-    cells = selected(known(cells, "state"), "state", state)
+    star = star.chosen("state", state).packed()
+    if star.unique_events:
+        cells = selected(known(star.cells("state", "venue_name", "artist_name"), "state"), "state", state)
+        counts = [F.count_distinct("venue_name").alias("venues"), F.sum("events").alias("events")]
+    else:  # events are counted apart, and with them the venues, so that no pairs of artists and venues are
+        cells, counts = selected(known(star.cells_by_value("state", "artist_name"), "state"), "state", state), []
     rest = cells.groupBy("state").agg(
-        F.count_distinct("venue_name").alias("venues"),
         F.count_distinct("artist_name").alias("artists"),
         F.sum("price_sum").alias("price_sum"),
         F.sum("price_n").alias("price_n"),
-        F.sum("events").alias("events"),
+        *counts,
     )
     if not star.unique_events:
-        events = selected(star.distinct_events("state"), "state", state)
-        rest = rest.drop("events").join(events, "state")
+        rest = rest.join(selected(star.distinct_events("state", {"venues": "venue_name"}), "state", state), "state")
     return rest.select("state", "events", "venues", "artists", _mean_price().alias("avg_price"))
 
 

@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from encore.functions.money import priced
-from encore.operators.joins import attach
 
 from .star import MEASURES, Star
 
@@ -38,10 +37,11 @@ def daily_cells(star: Star, lg_k: int = LG_K) -> DataFrame:
     row-wise joins do; distinct counts do not notice, and the price sketch sees repeats of artists and venues only. One pass over the fact; only the artist's name, the venue's name and
     its state are joined to it, and sketches are merged map-side, so a hot day or state costs one row a task.
     """
+    star = star.packed(numbers=True)
     fact, weight = star.weighted(star.artists, star.venues)
     sums = dict(zip(MEASURES, star.measures(weight)))
-    rows = attach(fact, star.artists.frame, {star.artists.key: star.artists.key}, ["artist_name"])
-    rows = attach(rows, star.venues.frame, {star.venues.key: star.venues.key}, ["venue_name", STATE])
+    rows = star.with_attributes(fact, star.artists, ["artist_name"])
+    rows = star.with_attributes(rows, star.venues, ["venue_name", STATE])
     counts = [F.hll_sketch_agg(column, lg_k).alias(name) for name, column in COUNTED.items()]
     price = F.kll_sketch_agg_double(priced("price_avg").cast("double")).alias("prices")
     return rows.groupBy(DAY, STATE).agg(*counts, price, sums["price_sum"], sums["price_n"])

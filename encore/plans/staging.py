@@ -1,7 +1,7 @@
 """Staging models: latest row per natural key, cleaned and cast.
 
 The casts run under ANSI rules, so a malformed value fails the run as it does in
-the warehouse; ``lenient=True`` turns such values into NULL instead.
+the warehouse; ``lenient=True`` turns such values into NULL instead. ``whole`` tells that all columns of a wide model are used.
 """
 
 from __future__ import annotations
@@ -38,10 +38,10 @@ def _codes(*names: str) -> list[Column]:
 
 
 def stg_ticketmaster_events(
-    raw: DataFrame, tiebreak: Tiebreak = None, lenient: bool = False, breaks: str = WORD_BREAKS
+    raw: DataFrame, tiebreak: Tiebreak = None, lenient: bool = False, breaks: str = WORD_BREAKS, whole: bool = False
 ) -> DataFrame:
     """One cleaned row per event."""
-    latest = latest_per_key(raw, ["event_id"], tiebreak=tiebreak)
+    latest = latest_per_key(raw, ["event_id"], tiebreak=tiebreak, whole=whole)
     return latest.select(
         *[_cast(c, "string", False) for c in ("event_id", "artist_id", "venue_id")],
         *_trim("event_name", "event_url"),
@@ -97,10 +97,10 @@ def stg_seatgeek_performers(
 
 
 def stg_seatgeek_events(
-    raw: DataFrame, tiebreak: Tiebreak = None, lenient: bool = False, breaks: str = WORD_BREAKS
+    raw: DataFrame, tiebreak: Tiebreak = None, lenient: bool = False, breaks: str = WORD_BREAKS, whole: bool = False
 ) -> DataFrame:
     """One cleaned row per ticket listing."""
-    latest = latest_per_key(raw, ["event_id"], tiebreak=tiebreak)
+    latest = latest_per_key(raw, ["event_id"], tiebreak=tiebreak, whole=whole)
     return latest.select(
         _cast("event_id", "string", False),
         *_trim("event_title", "event_url"),

@@ -13,11 +13,14 @@ Only the dimensions a report asks for are joined.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from encore.functions.calendar import weekend_label
+from encore.functions.keys import packed_key
 from encore.functions.money import priced
 from encore.operators.filters import known
 from encore.operators.joins import attach
@@ -25,6 +28,8 @@ from encore.operators.joins import attach
 
 #: Repeating keys of a dimension that are broadcast, at most; more are joined by a shuffle.
 BROADCAST_KEYS = 100_000
+#: Rows of a dimension that is broadcast where all events would be shuffled to it, at most; they are counted before.
+BROADCAST_ROWS = 400_000
 
 MEASURES = ["events", "event_rows", "price_sum", "price_n"]
 
@@ -51,6 +56,21 @@ class Dimension:
 
     _repeats: dict = field(default_factory=dict, compare=False, repr=False)
 
+    def few(self) -> bool:
+        """Whether the rows can be broadcast; counted once."""
+        if "few" not in self._counted:
+            self._counted["few"] = self.frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return self._counted["few"]
+
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` with the ranks of their keys among those of this dimension, which has few; NULL for keys that it lacks."""
+        rank = F.dense_rank().over(Window.orderBy("__key")).alias("__rank")
+        ranks = known(self.frame, self.key).select(F.col(self.key).alias("__key")).distinct().select("__key", rank)
+        joined = df.join(F.broadcast(ranks), df[self.key] == ranks["__key"], "left")
+        return joined.withColumn(self.key, F.col("__rank")).drop("__key", "__rank")
+
+    _counted: dict = field(default_factory=dict, compare=False, repr=False)
+
 
 @dataclass(frozen=True)
 class Star:
@@ -82,6 +102,24 @@ class Star:
             raise ValueError(f"no dimension has {sorted(missing)}")
         return supply
 
+    def packed(self, numbers: bool = False) -> "Star":
+        """The same star by shorter keys: hashed text keys are most of a narrow row and do not compress in a shuffle.
+
+        Where events are to be shuffled, ``numbers`` replaces the keys of dimensions of few rows by their ranks; that costs two broadcasts.
+        """
+        fact, dims = self.fact, [self.artists, self.venues, self.dates]
+        numbers = numbers and not all(d.few() for d in dims)
+        for i, dim in enumerate(dims):
+            if fact.schema[dim.key].dataType == dim.frame.schema[dim.key].dataType == StringType() and not dim.derived:
+                short, frame = (dim.numbered(fact), dim.numbered(dim.frame)) if numbers and dim.few() else [
+                    df.withColumn(dim.key, packed_key(dim.key)) for df in (fact, dim.frame)]
+                fact, dims[i] = short, Dimension(frame, dim.key, _counted=dim._counted)
+        return Star(fact, *dims, self.unique_events)
+
+    def with_attributes(self, events: DataFrame, dim: Dimension, attributes: Sequence[str]) -> DataFrame:
+        """Events, row by row, with attributes of a dimension; they are shuffled to it only if its rows are many."""
+        return attach(events, dim.frame, {dim.key: dim.key}, attributes, dim.few())
+
     def frame(self) -> DataFrame:
         """Events with all attributes, as the analyses see them."""
         artist_columns = ["artist_name", "genre", "monthly_listeners", "sg_score", "sg_popularity"]
@@ -158,6 +196,19 @@ class Star:
                 cells = attach(cells, dim.frame, {dim.key: dim.key}, own)
         return cells.select(*attributes, *MEASURES)
 
+    def cells_by_value(self, attribute: str, name: str) -> DataFrame:
+        """The cells of an attribute of one dimension, of few rows, and a name of another.
+
+        Events get the attribute first, by a broadcast, so that its values are grouped and shuffled with the keys of the names, not the many more pairs of
+        two keys. Over ``BROADCAST_ROWS`` rows they are ``cells``.
+        """
+        (dim, _), (named, _) = *self.dimensions_of(attribute), *self.dimensions_of(name)
+        if not dim.few():
+            return self.cells(attribute, name)
+        fact, weight = self.weighted(dim, named)
+        cells = self.with_attributes(fact, dim, [attribute]).groupBy(attribute, named.key).agg(*self.measures(weight))
+        return attach(cells, named.frame, {named.key: named.key}, [name]).select(attribute, name, *MEASURES)
+
     def rollup(self, *attributes: str, keep_null: bool = False) -> DataFrame:
         """The measures of ``cells`` per combination of attributes.
 
@@ -168,16 +219,19 @@ class Star:
             cells = known(cells, *attributes)
         return cells.groupBy(*attributes).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
-    def distinct_events(self, attribute: str) -> DataFrame:
-        """Distinct events per attribute value, exact also where dimension keys repeat."""
+    def distinct_events(self, attribute: str, names: dict[str, str] | None = None) -> DataFrame:
+        """Distinct events per attribute value, exact also where dimension keys repeat; ``names`` are further attributes of
+        the dimension whose distinct values are counted, by the names of the counts."""
         [(dim, _)] = self.dimensions_of(attribute)
-        pairs = dim.frame.select(dim.key, attribute).distinct()
+        names = names or {}
+        pairs = dim.frame.select(dim.key, attribute, *names.values()).distinct()
+        counted = [F.count_distinct(column).alias(name) for name, column in names.items()]
         if self.unique_events:
             counts = self.fact.groupBy(dim.key).agg(F.count("event_id").alias("events"))
-            counts = attach(counts, pairs, {dim.key: dim.key}, [attribute])
-            return known(counts, attribute).groupBy(attribute).agg(F.sum("events").alias("events"))
-        rows = attach(self.fact.select(dim.key, "event_id"), pairs, {dim.key: dim.key}, [attribute])
-        return known(rows, attribute).groupBy(attribute).agg(self.events_counted().alias("events"))
+            counts = attach(counts, pairs, {dim.key: dim.key}, [attribute, *names.values()])
+            return known(counts, attribute).groupBy(attribute).agg(F.sum("events").alias("events"), *counted)
+        rows = attach(self.fact.select(dim.key, "event_id"), pairs, {dim.key: dim.key}, [attribute, *names.values()], dim.few())
+        return known(rows, attribute).groupBy(attribute).agg(self.events_counted().alias("events"), *counted)
 
     def seen(self, dim: Dimension) -> DataFrame:
         """Rows of a dimension that at least one event refers to."""

@@ -6,6 +6,8 @@ import re
 from pyspark.sql import functions as F
 
 from encore.functions import calendar as cal, keys, money, nested, parse, report_text, text
+from encore.functions.keys import packed_key
+from encore.functions.text import pack_texts, packed_parts, unpack_texts
 
 
 def one(spark, column, **values):
@@ -159,3 +161,22 @@ def test_report_text(spark):
     assert one(spark, report_text.billions("a"), a=6840000000.0) == "$6.8B"
     assert one(spark, report_text.percent("a"), a=12.34) == "12.3%"
     assert one(spark, report_text.times(F.lit(12)), a=0.0) == "12x"
+
+
+def test_packed_keys_tell_all_texts_apart(spark):
+    digits = "0123456789abcdef" * 2
+    texts = [digits, digits.upper(), digits[:-1], digits + "0", digits[:-1] + "g", "", "a", "\x00", "\x00\x00", "é" * 16, "é" * 8, None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    keys = [r.k for r in frame.select(packed_key("t").alias("k")).collect()]
+    assert len({None if k is None else bytes(k) for k in keys}) == len(texts) and keys[-1] is None
+    assert bytes(keys[0]) == bytes.fromhex(digits) and all(len(k) > 16 for k in keys[1:-1])
+
+
+def test_packed_texts_are_given_back(spark):
+    texts = [None, "", "a", "\x1f", "\x1b", "\x1bn", "\x1bs\x1f", "\x1be\x1b\x1f\x1f", " b\n", "é|\\"]
+    rows = [(a, b, c) for a in texts for b in texts for c in texts]
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    names = ["a", "b", "c"]
+    packed = frame.select(*names, packed_parts(pack_texts(names)).alias("p"))
+    for r in packed.select(*names, F.struct(*unpack_texts(F.col("p"), names)).alias("back")).collect():
+        assert tuple(r.back) == (r.a, r.b, r.c)

@@ -204,3 +204,16 @@ def test_approximate_distinct_counts(spark):
     exact = df.agg(*aggregates.distinct_counts({"a": "a", "b": "b"})).first()
     about = df.agg(*aggregates.distinct_counts({"a": "a", "b": "b"}, approximate=True)).first()
     assert tuple(exact) == (100, 1000) and about.a == pytest.approx(100, rel=0.15) and about.b == pytest.approx(1000, rel=0.15)
+
+
+def test_latest_per_key_of_whole_rows(spark, rows):
+    rng = random.Random(8)
+    texts = [None, "", "a", "\x1f", "\x1bn", "b\x1fc"]
+    df = spark.createDataFrame(
+        [(f"e{rng.randint(0, 9)}", rng.choice(texts), rng.randint(0, 3), rng.choice(texts), i, rng.choice(texts)) for i in range(200)],
+        "k string, url string, loaded_at int, city string, n int, genre string")
+    plain = latest_per_key(df, ["k"], tiebreak=["n"])
+    whole = latest_per_key(df.repartition(3), ["k"], tiebreak=["n"], whole=True)
+    assert whole.schema == df.schema and rows(whole) == rows(plain)
+    exchanges = [x for x in whole._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in x or "__packed" in x]
+    assert exchanges and rows(latest_per_key(df, ["k"], whole=True)) == rows(latest_per_key(df, ["k"]))

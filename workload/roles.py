@@ -129,22 +129,25 @@ def raw_artist_names(t: Tables) -> DataFrame:
 def raw_events(t: Tables) -> DataFrame:
     owners = t.orders.select("o_orderkey", F.lower("o_orderstatus").alias("status"), artist_id().alias("artist_id"))
     owners = owners.join(messy_artists(t), F.col("artist_id") == F.col("c_custkey"), "left")
-    lines = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    lines = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", venue_id().isNotNull().alias("has_venue"), event_date().isNotNull().alias("has_date"),
+        low_price().alias("low"), high_price().alias("high"), "l_shipdate")  # what is shuffled to the orders
+    lines = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return with_messy_venues(lines, t).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         F.concat(F.lit(" show "), F.lpad(F.col("l_partkey").cast("string"), 12, "0"), F.lit(" ")).alias("event_name"),
         F.concat(F.lit("https://events.example.com/"), "l_orderkey", F.lit("/"), "l_linenumber", F.lit(" ")).alias("event_url"),
-        event_date().cast("string").alias("event_date"),
+        F.when(F.col("has_date"), F.col("l_shipdate").cast("date")).cast("string").alias("event_date"),
         F.concat(F.lpad((F.col("l_linenumber") + 12).cast("string"), 2, "0"), F.lit(":30:00")).alias("event_time"),
         F.concat(F.lit(" "), "status").alias("sale_status"),
         "artist_name",
         F.col("artist_id").cast("string").alias("artist_id"),
         "venue_name",
-        venue_id().cast("string").alias("venue_id"),
+        F.when(F.col("has_venue"), F.col("l_suppkey")).cast("string").alias("venue_id"),
         "city",
         "state",
-        low_price().cast("double").alias("price_min"),
-        high_price().cast("double").alias("price_max"),
+        F.col("low").cast("double").alias("price_min"),
+        F.col("high").cast("double").alias("price_max"),
         F.lit("usd ").alias("currency"),
         "genre",
         F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
