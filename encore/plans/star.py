@@ -121,13 +121,14 @@ class Star:
         return attach(events, dim.frame, {dim.key: dim.key}, attributes, dim.few())
 
     def frame(self) -> DataFrame:
-        """Events with all attributes, as the analyses see them."""
+        """Events with all attributes, as the analyses see them. Events are shuffled only to dimensions of many rows, by short keys."""
         artist_columns = ["artist_name", "genre", "monthly_listeners", "sg_score", "sg_popularity"]
         venue_columns = ["venue_name", "city", "state"] + [c for c in ("lat", "lon") if c in self.venues.frame.columns]
         date_columns = ["day_name", "month_name", "month_num", "year", "quarter", "is_weekend"]
-        wide = attach(self.fact, self.artists.frame, {self.artists.key: self.artists.key}, artist_columns)
-        wide = attach(wide, self.venues.frame, {self.venues.key: self.venues.key}, venue_columns)
-        wide = attach(wide, self.dates.frame, {self.dates.key: self.dates.key}, date_columns)
+        star = self.packed(numbers=True)
+        wide = star.with_attributes(star.fact, star.artists, artist_columns)
+        wide = star.with_attributes(wide, star.venues, venue_columns)
+        wide = star.with_attributes(wide, star.dates, date_columns)
         numbers = ["price_min", "price_max", "price_avg", "monthly_listeners", "sg_score", "sg_popularity"]
         own = ["event_id", "event_name", "event_date", "event_time", "sale_status", "price_min", "price_max", "price_avg", "currency"]
         columns = [
