@@ -7,6 +7,8 @@ Prices are averaged as ``price_sum / price_n``, so partial results merge exactly
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from encore.functions import report_text as text
@@ -340,20 +342,23 @@ def market_kpis(star: Star, state: str | None = None, cells: DataFrame | None =
     if cells is not None:
         rows = sketches.merged(selected(known(cells, "state"), "state", state), "state")
         return rows.select("state", *sketches.estimates("events", "venues", "artists"), _mean_price().alias("avg_price"))
-    star = star.chosen("state", state).packed()
-    if star.unique_events:
+    whole, star = star.packed().fact, star.chosen("state", state).packed()
+    if star.unique_events or not star.venues.few():
         cells = selected(known(star.cells("state", "venue_name", "artist_name"), "state"), "state", state)
-        counts = [F.count_distinct("venue_name").alias("venues"), F.sum("events").alias("events")]
-    else:  # events are counted apart, and with them the venues, so that no pairs of artists and venues are
-        cells, counts = selected(known(star.cells_by_value("state", "artist_name"), "state"), "state", state), []
-    rest = cells.groupBy("state").agg(
-        F.count_distinct("artist_name").alias("artists"),
-        F.sum("price_sum").alias("price_sum"),
-        F.sum("price_n").alias("price_n"),
-        *counts,
-    )
+        rest = cells.groupBy("state").agg(
+            F.count_distinct("venue_name").alias("venues"),
+            F.count_distinct("artist_name").alias("artists"),
+            F.sum("price_sum").alias("price_sum"),
+            F.sum("price_n").alias("price_n"),
+            F.sum("events").alias("events"),
+        )
+    else:  # no pairs of artist and venue; totals keep only events of known states and need no choice of them
+        totals = selected(replace(star, fact=whole).totals("state", "venue_name", "venues"), "state", state).drop("events")
+        artists = selected(star.distinct_names("state", "artist_name", "artists"), "state", state)
+        rest = totals.join(artists, "state")
     if not star.unique_events:
-        rest = rest.join(selected(star.distinct_events("state", {"venues": "venue_name"}), "state", state), "state")
+        events = selected(star.distinct_events("state"), "state", state)
+        rest = rest.drop("events").join(events, "state")
     return rest.select("state", "events", "venues", "artists", _mean_price().alias("avg_price"))
 
 

@@ -197,19 +197,6 @@ class Star:
                 cells = attach(cells, dim.frame, {dim.key: dim.key}, own)
         return cells.select(*attributes, *MEASURES)
 
-    def cells_by_value(self, attribute: str, name: str) -> DataFrame:
-        """The cells of an attribute of one dimension, of few rows, and a name of another.
-
-        Events get the attribute first, by a broadcast, so that its values are grouped and shuffled with the keys of the names, not the many more pairs of
-        two keys. Over ``BROADCAST_ROWS`` rows they are ``cells``.
-        """
-        (dim, _), (named, _) = *self.dimensions_of(attribute), *self.dimensions_of(name)
-        if not dim.few():
-            return self.cells(attribute, name)
-        fact, weight = self.weighted(dim, named)
-        cells = self.with_attributes(fact, dim, [attribute]).groupBy(attribute, named.key).agg(*self.measures(weight))
-        return attach(cells, named.frame, {named.key: named.key}, [name]).select(attribute, name, *MEASURES)
-
     def rollup(self, *attributes: str, keep_null: bool = False) -> DataFrame:
         """The measures of ``cells`` per combination of attributes.
 
@@ -220,19 +207,41 @@ class Star:
             cells = known(cells, *attributes)
         return cells.groupBy(*attributes).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
-    def distinct_events(self, attribute: str, names: dict[str, str] | None = None) -> DataFrame:
-        """Distinct events per attribute value, exact also where dimension keys repeat; ``names`` are further attributes of
-        the dimension whose distinct values are counted, by the names of the counts."""
+    def distinct_events(self, attribute: str) -> DataFrame:
+        """Distinct events per attribute value, exact also where dimension keys repeat."""
         [(dim, _)] = self.dimensions_of(attribute)
-        names = names or {}
-        pairs = dim.frame.select(dim.key, attribute, *names.values()).distinct()
-        counted = [F.count_distinct(column).alias(name) for name, column in names.items()]
+        pairs = dim.frame.select(dim.key, attribute).distinct()
         if self.unique_events:
             counts = self.fact.groupBy(dim.key).agg(F.count("event_id").alias("events"))
-            counts = attach(counts, pairs, {dim.key: dim.key}, [attribute, *names.values()])
-            return known(counts, attribute).groupBy(attribute).agg(F.sum("events").alias("events"), *counted)
-        rows = attach(self.fact.select(dim.key, "event_id"), pairs, {dim.key: dim.key}, [attribute, *names.values()], dim.few())
-        return known(rows, attribute).groupBy(attribute).agg(self.events_counted().alias("events"), *counted)
+            counts = attach(counts, pairs, {dim.key: dim.key}, [attribute])
+            return known(counts, attribute).groupBy(attribute).agg(F.sum("events").alias("events"))
+        rows = attach(self.fact.select(dim.key, "event_id"), pairs, {dim.key: dim.key}, [attribute], dim.few())
+        return known(rows, attribute).groupBy(attribute).agg(self.events_counted().alias("events"))
+
+    def totals(self, attribute: str, name: str, counted: str) -> DataFrame:
+        """Measures per known value of an attribute of a dimension of few rows, and how many names of it events refer to, as ``counted``.
+
+        Names are bits at their ranks, so that a task sends some bitmaps and not each name that it saw.
+        """
+        [(dim, _)] = self.dimensions_of(attribute)
+        fact, weight = self.weighted(dim)
+        rank = F.when(F.col(name).isNotNull(), F.dense_rank().over(Window.orderBy(name))).cast("bigint")
+        ranked = dim.frame.select(dim.key, attribute, rank.alias("__rank"))
+        rows = known(attach(fact, ranked, {dim.key: dim.key}, [attribute, "__rank"], True), attribute)
+        parts = rows.groupBy(attribute, F.bitmap_bucket_number("__rank").alias("__bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("__rank")).alias("__bits"), *self.measures(weight))
+        return parts.groupBy(attribute).agg(F.sum(F.bitmap_count("__bits")).alias(counted), *[F.sum(m).alias(m) for m in MEASURES])
+
+    def distinct_names(self, attribute: str, name: str, counted: str) -> DataFrame:
+        """Distinct names of one dimension per known value of an attribute of another, of few rows, as ``counted``: (attribute, counted).
+
+        Events get the value by a broadcast, then only pairs of value and name's key are shuffled.
+        """
+        (dim, _), (named, _) = *self.dimensions_of(attribute), *self.dimensions_of(name)
+        values = dim.frame.select(dim.key, attribute).distinct()
+        rows = attach(self.fact.select(dim.key, named.key), values, {dim.key: dim.key}, [attribute], True)
+        pairs = known(rows, attribute).select(attribute, named.key).distinct()
+        return attach(pairs, named.frame, {named.key: named.key}, [name]).groupBy(attribute).agg(F.count_distinct(name).alias(counted))
 
     def seen(self, dim: Dimension) -> DataFrame:
         """Rows of a dimension that at least one event refers to."""
